@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 import re
 import sys
@@ -50,6 +49,7 @@ from chatpulse.plans.branches import (
     unlimited_summary,
 )
 from chatpulse.session import pin_zone
+from chatpulse.sources.offline import offline_client_factory
 from chatpulse.sources.tables import (
     TABLE_LEXICON,
     document_messages,
@@ -230,26 +230,10 @@ def q_llm_request(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def offline_client() -> Callable[[str], str]:
-    """A client without a network: repeats bounds and count, refuses over-long prompts."""
-
-    def call(request: str) -> str:
-        prompt = json.loads(request)["messages"][1]["content"]
-        if len(prompt) > PROMPT_LIMIT:
-            raise OSError("prompt too long")
-        fields = {
-            "start": re.search(r"^Window Start: (.*)$", prompt, re.M).group(1),
-            "messageCount": int(re.search(r"^Messages Processed: (\d+)$", prompt, re.M).group(1)),
-        }
-        return json.dumps({"choices": [{"message": {"role": "assistant", "content": json.dumps(fields)}}]})
-
-    return call
-
-
 def q_llm_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = EnrichSettings(model=MODEL, wait_ms=0)
     requests = narrative_requests(_kept_documents(spark, sf_dir), settings, MINUTE)
-    replies = enrich(requests, offline_client, settings, MINUTE)
+    replies = enrich(requests, offline_client_factory(PROMPT_LIMIT), settings, MINUTE)
     content = F.get_json_object("response", "$.choices[0].message.content")
     return replies.select(
         *MINUTE.group,

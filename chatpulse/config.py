@@ -28,7 +28,9 @@ class WindowPlan:
     ``order`` is the total arrival order inside a window; the last column must break ties.
     ``limit`` keeps only the newest rows of a window. ``shards`` spreads one very full
     window over that many tasks before its newest rows are picked; the square root of
-    the number of input splits is a good value for a large table.
+    the number of input splits is a good value for a large table. ``state_shards`` does the
+    same for the state of a stream; every shard is a state entry of its own, so raise it
+    for few, very full windows only.
     """
 
     duration: str = "1 minute"
@@ -37,11 +39,12 @@ class WindowPlan:
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ("arrival", "seq")
     shards: int = 32
+    state_shards: int = 4
 
     def __post_init__(self) -> None:
         if self.limit < 1:
             raise SettingsError("limit must be at least 1")
-        if self.shards < 1:
+        if self.shards < 1 or self.state_shards < 1:
             raise SettingsError("shards must be at least 1")
         if not self.order:
             raise SettingsError("order needs at least one column")

@@ -68,7 +68,7 @@ def closed_windows(
 ) -> DataFrame:
     """Newest rows of each window, sent once, when the window ends.
 
-    Up to ``limit * shards`` rows of a window come out, all in the same micro-batch;
+    Up to ``limit * state_shards`` rows of a window come out, all in the same micro-batch;
     ``keep_newest`` over them gives the window's final rows. Columns: the group columns,
     the order columns and ``message``.
 
@@ -89,7 +89,7 @@ def closed_windows(
     def as_long(name: str):
         return (F.unix_micros(name) if name in instants else F.col(name).cast("bigint")).alias(name)
 
-    shard = F.pmod(F.xxhash64(*plan.order), F.lit(plan.shards)).alias("_shard")
+    shard = F.pmod(F.xxhash64(*plan.order), F.lit(plan.state_shards)).alias("_shard")
     state = T.StructType(
         [T.StructField(name, T.LongType()) for name in plan.order] + [T.StructField("message", T.StringType())]
     )
