@@ -23,7 +23,8 @@ _BOUNDS = ("_start_us", "_end_us")
 class NewestRows(StatefulProcessor):
     """State of one shard of one window: at most ``limit`` rows, handed over at its end."""
 
-    def __init__(self, plan: WindowPlan, state: T.StructType) -> None:
+    def __init__(self, plan: WindowPlan, state: T.StructType, early_ms: int) -> None:
+        self._early_ms = early_ms
         self._limit = plan.limit
         self._order = list(plan.order)
         self._group = [*plan.keys, *_BOUNDS]
@@ -49,7 +50,7 @@ class NewestRows(StatefulProcessor):
         if newest is not None:
             self._rows.put([tuple(row) for row in newest.astype(object).itertuples(index=False)])
             end_us = int(key[self._group.index("_end_us")])
-            self._handle.registerTimer(-(-end_us // 1000))
+            self._handle.registerTimer(end_us // 1000 - self._early_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -81,8 +82,12 @@ def closed_windows(
     # The stateful operator needs this store.
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     windowed = assign_windows(messages, plan)
+    early_ms = 0
     if mode == EVENT_TIME:
-        windowed = windowed.withWatermark("win_start", delay)
+        # Rows AT the watermark count as late. Held back by a millisecond it stays below the
+        # start of the newest window; timers are early by as much, so windows end on time.
+        early_ms = 1
+        windowed = windowed.withWatermark("win_start", f"{delay} {early_ms} millisecond")
     types = {f.name: f.dataType for f in messages.schema.fields}
     instants = [name for name in plan.order if isinstance(types[name], T.TimestampType)]
 
@@ -109,7 +114,7 @@ def closed_windows(
         "message",
     )
     closed = rows.groupBy(*plan.keys, *_BOUNDS, "_shard").transformWithStateInPandas(
-        statefulProcessor=NewestRows(plan, state),
+        statefulProcessor=NewestRows(plan, state, early_ms),
         outputStructType=output,
         outputMode="append",
         timeMode=mode,
