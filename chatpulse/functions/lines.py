@@ -27,16 +27,17 @@ def line_fields(text: Column) -> Column:
     return F.split(text, FIELD_BREAK, 3)
 
 
-def labelled_value(field: Column) -> Column:
-    """Second ``": "`` piece of a field; null when only the label (and separators) is there."""
-    rest = F.get(F.split(field, LABEL_BREAK, 2), F.lit(1))
-    piece = F.get(F.split(rest, LABEL_BREAK, 2), F.lit(0))
-    return F.when(~rest.rlike(r"\A(?:: )*\z"), piece)
-
-
 def message_text(field: Column) -> Column:
     """Everything after the label, separators included; may be empty, null without a label."""
-    return F.get(F.split(field, LABEL_BREAK, 2), F.lit(1))
+    at = F.locate(LABEL_BREAK, field)
+    return F.when(at > 0, F.substring(field, at + F.lit(len(LABEL_BREAK)), F.length(field)))
+
+
+def labelled_value(field: Column) -> Column:
+    """Second ``": "`` piece of a field; null when only the label (and separators) is there."""
+    rest = message_text(field)
+    only_breaks = F.replace(rest, F.lit(LABEL_BREAK), F.lit("")) == ""
+    return F.when(~only_breaks, F.substring_index(rest, LABEL_BREAK, 1))
 
 
 def whole_seconds(text: Column) -> Column:
@@ -49,11 +50,11 @@ def whole_seconds(text: Column) -> Column:
         "^[+-]?(Infinity|NaN)$"
     )
     return (
-        F.when(odd_spelling, F.lit(None).cast("bigint"))
+        F.when(F.abs(number) < float(_LONG_MAX), number.try_cast("bigint"))
+        .when(odd_spelling, F.lit(None).cast("bigint"))
         .when(F.isnan(number), F.lit(0).cast("bigint"))
-        .when(number >= float(_LONG_MAX), F.lit(_LONG_MAX))
-        .when(number <= -float(_LONG_MAX), F.lit(-_LONG_MAX - 1))
-        .otherwise(number.try_cast("bigint"))
+        .when(number > 0, F.lit(_LONG_MAX))
+        .when(number < 0, F.lit(-_LONG_MAX - 1))
     )
 
 

@@ -36,7 +36,7 @@ POSITIVE_FLOOR = 2.5
 NEGATIVE_CEILING = 1.5
 
 SENTENCE_BREAK = r"[.!?\n]+"
-TOKEN_BREAK = r"[^a-z]+"
+TOKEN = r"[a-z]+"
 NEUTRAL_SCORE = 2
 TOP_SCORE = 4
 
@@ -88,6 +88,11 @@ def sentences_of(text: Column) -> Column:
     return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
+def tokens_of(sentence: Column) -> Column:
+    """Runs of letters a to z of a lower-case sentence."""
+    return F.regexp_extract_all(sentence, F.lit(TOKEN), F.lit(0))
+
+
 def clamp_score(weight: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(TOP_SCORE), weight + F.lit(NEUTRAL_SCORE))).cast("int")
 
@@ -134,8 +139,8 @@ def lexicon_scorer(weights: Mapping[str, int]) -> Scorer:
         return chain.otherwise(0)
 
     def token_score(sentence: Column) -> Column:
-        hits = F.filter(F.split(sentence, TOKEN_BREAK), lambda t: t.isin(sorted(words)))
-        return clamp_score(F.aggregate(hits, F.lit(0), lambda acc, t: acc + weight_of(t)))
+        total = F.aggregate(tokens_of(sentence), F.lit(0), lambda acc, t: acc + weight_of(t))
+        return clamp_score(total)
 
     def sentence_score(sentence: Column) -> Column:
         if len(words) > SEARCHED_LEXICON_MAX:

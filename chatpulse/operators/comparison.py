@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chatpulse.config import WindowPlan
 from chatpulse.functions.clock import window_key
+from chatpulse.functions.once import with_once
 from chatpulse.operators.results import NO_MESSAGE
 from chatpulse.schemas import RESULT_FIELDS
 
@@ -31,9 +32,8 @@ def read_results(feed: DataFrame) -> DataFrame:
         F.array_contains(names, "descriptiveParagraph"), NARRATIVE
     )
     return (
-        feed.withColumn("kind", kind)
+        with_once(feed, kind=kind, _r=F.from_json("value", RESULT_FIELDS))
         .where(F.col("kind").isNotNull())
-        .withColumn("_r", F.from_json("value", RESULT_FIELDS))
         .withColumn("window_key", window_key(F.col("_r.start"), F.col("_r.end")))
         .withColumn("overall_sentiment", F.col("_r.overallSentiment"))
         .withColumn("most_positive", F.col("_r.mostPositiveMessage"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from chatpulse.config import EnrichSettings, WindowPlan
 from chatpulse.functions.clock import london_text
+from chatpulse.functions.once import with_once
 from chatpulse.operators.windows import order_key
 
 #: Sends one request body and returns the reply body; raises ``OSError`` on any failure.
@@ -173,7 +174,7 @@ def extract_content(responses: DataFrame, response: str = "response") -> DataFra
         .otherwise(F.try_variant_get(F.col("_choice"), "$.message.content", "string"))
     )
     return (
-        responses.withColumn("_choice", _first_choice(response))
+        with_once(responses, _choice=_first_choice(response))
         .where(F.col("_choice").isNotNull())
         .withColumn("value", text)
         .drop("_choice", response)

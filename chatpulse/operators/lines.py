@@ -13,6 +13,7 @@ from chatpulse.functions.lines import (
     message_text,
     whole_seconds,
 )
+from chatpulse.functions.once import with_once
 
 MALFORMED = "malformed line"
 
@@ -29,14 +30,14 @@ def format_lines(events: DataFrame) -> DataFrame:
 
 
 def _read_fields(lines: DataFrame, value: str) -> DataFrame:
-    parts = line_fields(decoded(F.col(value)))
-    return (
-        lines.withColumn("_parts", parts)
-        .withColumn("event_time", whole_seconds(labelled_value(F.get("_parts", F.lit(0)))))
-        .withColumn("user", labelled_value(F.get("_parts", F.lit(1))))
-        .withColumn("message", message_text(F.get("_parts", F.lit(2))))
-        .drop("_parts")
+    split_up = with_once(lines, _parts=line_fields(decoded(F.col(value))))
+    texts = with_once(
+        split_up,
+        _seconds=labelled_value(F.get("_parts", F.lit(0))),
+        user=labelled_value(F.get("_parts", F.lit(1))),
+        message=message_text(F.get("_parts", F.lit(2))),
     )
+    return with_once(texts, event_time=whole_seconds(F.col("_seconds"))).drop("_parts", "_seconds")
 
 
 def _well_formed():

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatpulse.functions.sentiment import (
-    TOKEN_BREAK,
     Scorer,
     check_scorer,
     clamp_score,
     class_name,
     sentences_of,
+    tokens_of,
 )
 
 
@@ -54,7 +54,7 @@ def score_with_lexicon_table(messages: DataFrame, lexicon: DataFrame, key: str =
     sentences = messages.select(key, F.posexplode_outer(sentences_of(F.col("message"))).alias("_pos", "_text"))
     weights = lexicon.where(F.col("weight") != 0).select("token", "weight")
     tokens = sentences.select(
-        key, "_pos", F.posexplode_outer(F.split("_text", TOKEN_BREAK)).alias("_at", "token")
+        key, "_pos", F.posexplode_outer(tokens_of(F.col("_text"))).alias("_at", "token")
     )
     # Words without a weight leave again before the sums; the first token stands for its
     # sentence, so that a sentence (or a message without one) is never lost.
