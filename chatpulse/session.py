@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,26 @@ def pin_zone(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings a stream takes over when it starts; the session gets its own ones back.
+
+    ``partitions`` is the number of state partitions. It is fixed with the first start of
+    a checkpoint, so choose it for the load the stream will have.
+    """
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from chatpulse.config import EnrichSettings, WindowPlan
 from chatpulse.functions.sentiment import Scorer, check_scorer
@@ -23,6 +22,7 @@ from chatpulse.operators.enrichment import ClientFactory, answered, extract_cont
 from chatpulse.operators.results import result_json
 from chatpulse.operators.windows import keep_newest
 from chatpulse.plans.branches import narrative_branch, summarise_kept, unlimited_summary
+from chatpulse.session import stream_settings
 from chatpulse.sources.writers import BatchSink, table_sink
 from chatpulse.streaming.newest import EVENT_TIME, PROCESSING_TIME, closed_windows
 
@@ -38,16 +38,24 @@ class NarrativeStep:
     parallelism: int | None = None
 
 
-def _write(
-    frame: DataFrame, handler: Callable[[DataFrame, int], None], name: str, checkpoint: str, trigger: str | None
-) -> DataStreamWriter:
+def _start(
+    frame: DataFrame,
+    handler: Callable[[DataFrame, int], None],
+    name: str,
+    work_dir: str,
+    trigger: str | None,
+    partitions: int | None,
+) -> StreamingQuery:
     writer = (
         frame.writeStream.queryName(name)
         .outputMode("append")
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{work_dir}/checkpoint")
         .foreachBatch(handler)
     )
-    return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    with stream_settings(frame.sparkSession, partitions):
+        if trigger:
+            return writer.trigger(processingTime=trigger).start()
+        return writer.trigger(availableNow=True).start()
 
 
 def window_handler(
@@ -111,17 +119,19 @@ def start_windows(
     delay: str = "0 seconds",
     trigger: str | None = "10 seconds",
     name: str = "chat-windows",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Summarise the newest rows of each window of ``messages`` as the windows close.
 
     ``work_dir`` is a shared folder of this job: its checkpoint and intermediate tables.
-    ``trigger=None`` processes what is there and stops.
+    ``trigger=None`` processes what is there and stops. ``partitions`` is the number of
+    state partitions, fixed with the first start.
     """
     if mode not in (EVENT_TIME, PROCESSING_TIME):
         raise ValueError(f"mode must be {EVENT_TIME} or {PROCESSING_TIME}")
     handler = window_handler(scorer, plan, work_dir, results, summaries, narrative)
     closed = closed_windows(messages, plan, mode, delay)
-    return _write(closed, handler, name, f"{work_dir}/checkpoint", trigger).start()
+    return _start(closed, handler, name, work_dir, trigger, partitions)
 
 
 def start_unlimited(
@@ -133,11 +143,12 @@ def start_unlimited(
     delay: str = "0 seconds",
     trigger: str | None = "10 seconds",
     name: str = "chat-all-messages",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Summarise ALL messages of each window; one combined row per window is the whole state."""
     watched = messages.withWatermark(plan.order[0], delay)
     summary = unlimited_summary(watched, check_scorer(scorer), plan)
-    return _write(summary, sink, name, f"{work_dir}/checkpoint", trigger).start()
+    return _start(summary, sink, name, work_dir, trigger, partitions)
 
 
 def compared_stream(
@@ -179,13 +190,14 @@ def start_comparison(
     delay: str = "10 minutes",
     trigger: str | None = "10 seconds",
     name: str = "chat-comparison",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     pairs = compared_stream(classifier_feed, narrative_feed, plan, delay)
-    return _write(pairs, sink, name, f"{work_dir}/checkpoint", trigger).start()
+    return _start(pairs, sink, name, work_dir, trigger, partitions)
 
 
 def start_serving(
     feed: DataFrame, work_dir: str, serving_path: str, trigger: str | None = "10 seconds", name: str = "chat-serving"
 ) -> StreamingQuery:
     """Store every incoming result for readers; they take ``latest_per_window`` of the table."""
-    return _write(feed, table_sink(serving_path), name, f"{work_dir}/checkpoint", trigger).start()
+    return _start(feed, table_sink(serving_path), name, work_dir, trigger, None)

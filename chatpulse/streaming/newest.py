@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from chatpulse.config import WindowPlan
 from chatpulse.operators.windows import assign_windows
-from chatpulse.session import ROCKSDB_PROVIDER, pin_zone
+from chatpulse.session import pin_zone
 
 EVENT_TIME = "EventTime"
 PROCESSING_TIME = "ProcessingTime"
@@ -78,9 +78,7 @@ def closed_windows(
     ``ProcessingTime`` goes by the clock and also ends windows of a stream gone idle; the
     arrival column must then be the micro-batch time (``sources.readers.stamped``).
     """
-    spark = pin_zone(messages.sparkSession)
-    # The stateful operator needs this store.
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    pin_zone(messages.sparkSession)
     windowed = assign_windows(messages, plan)
     early_ms = 0
     if mode == EVENT_TIME:

@@ -19,6 +19,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _partitions(spark: SparkSession) -> int:
+    """State partitions of a replay: as many as run at once, never more than a shuffle has."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+
+
 def _document_stream(spark: SparkSession, path: str) -> DataFrame:
     # As a pattern, the path may name one file as well as a folder of files.
     pattern = f"{path[:-1]}[{path[-1]}]"
@@ -32,7 +38,9 @@ def replay_summary(
     folder = fresh_folder(spark, "replay-summary")
     out = f"{folder}/summaries"
     messages = _document_stream(spark, path)
-    query = start_windows(messages, scorer, folder, plan, summaries=table_sink(out), trigger=None)
+    query = start_windows(
+        messages, scorer, folder, plan, summaries=table_sink(out), trigger=None, partitions=_partitions(spark)
+    )
     query.awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
@@ -42,7 +50,10 @@ def replay_unlimited(
 ) -> DataFrame:
     folder = fresh_folder(spark, "replay-unlimited")
     out = f"{folder}/summaries"
-    query = start_unlimited(_document_stream(spark, path), scorer, folder, table_sink(out), plan, trigger=None)
+    messages = _document_stream(spark, path)
+    query = start_unlimited(
+        messages, scorer, folder, table_sink(out), plan, trigger=None, partitions=_partitions(spark)
+    )
     query.awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
@@ -55,5 +66,8 @@ def replay_comparison(feed: DataFrame, plan: WindowPlan = WindowPlan()) -> DataF
         f"{folder}/feed"
     )
     sides = [result_table(spark, f"{folder}/feed", streaming=True) for _ in range(2)]
-    start_comparison(*sides, folder, table_sink(f"{folder}/pairs"), plan, trigger=None).awaitTermination()
+    query = start_comparison(
+        *sides, folder, table_sink(f"{folder}/pairs"), plan, trigger=None, partitions=_partitions(spark)
+    )
+    query.awaitTermination()
     return newest_pairs(spark.read.parquet(f"{folder}/pairs"), plan)
