@@ -56,6 +56,7 @@ from chatpulse.sources.tables import (
     event_feed,
     event_lines,
     event_messages,
+    lexicon_table,
     table,
     turn_messages,
 )
@@ -149,8 +150,7 @@ def q_message_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lexicon_table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexicon = spark.createDataFrame(list(TABLE_LEXICON.items()), "token string, weight int")
-    return score_with_lexicon_table(documents(spark, sf_dir), lexicon)
+    return score_with_lexicon_table(documents(spark, sf_dir), lexicon_table(spark, TABLE_LEXICON))
 
 
 def q_class_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lexicon_table(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
+    """``token, weight`` rows of known size."""
+    rows = ", ".join(f"('{token}', {weight})" for token, weight in weights.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(token, weight)")
+
+
 def document_messages(documents: DataFrame) -> DataFrame:
     """One message per document: 60 a minute, so the one-minute limit of 50 does evict."""
     arrival = F.timestamp_seconds(

@@ -11,6 +11,7 @@ from chatpulse.operators.scoring import (
     sentence_rows,
 )
 from chatpulse.schemas import SENTENCE_SCORES
+from chatpulse.sources.tables import lexicon_table
 from tests.helpers import messages, plan_text
 
 ENGLISH = lexicon_scorer(ENGLISH_LEXICON)
@@ -57,22 +58,20 @@ def test_short_and_long_lexicons_score_alike(spark):
     assert found == wanted
 
 
-def test_lexicon_table_scores_like_the_literal_lexicon(spark):
-    texts = ["Good. Bad good! Terrible", "", None, " . ", "nothing here", "!good", "awful awful. great"]
+@pytest.mark.parametrize("threshold, join", [("10MB", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
+def test_lexicon_table_scores_like_the_literal_lexicon(spark, threshold, join):
+    texts = ["Good. Bad good! Terrible", "", None, " . ", "nothing here", "!good", "awful awful. great", "12. 3"]
     frame = messages(spark, list(enumerate(texts)))
-    lexicon = spark.createDataFrame(list(ENGLISH_LEXICON.items()), "token string, weight int")
     columns = ["seq", "sentence_count", "score_sum", "max_score", "min_score"]
     wanted = message_stats(score_messages(frame, ENGLISH)).select(columns).orderBy("seq").collect()
-    assert score_with_lexicon_table(frame, lexicon).select(columns).orderBy("seq").collect() == wanted
-
-
-def test_text_does_not_travel_to_a_lexicon_table(spark, tmp_path):
-    path = str(tmp_path / "messages")
-    messages(spark, [(0, "good")]).write.parquet(path)
-    lexicon = spark.createDataFrame([("good", 1)], "token string, weight int")
-    plan = plan_text(score_with_lexicon_table(spark.read.parquet(path), lexicon))
-    assert "ReadSchema: struct<seq:bigint,message:string>" in plan
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = score_with_lexicon_table(frame, lexicon_table(spark, ENGLISH_LEXICON)).select(columns)
+        assert join in plan_text(found)
+        assert found.orderBy("seq").collect() == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_model_as_pandas_udf_plugs_in(spark):
