@@ -34,8 +34,8 @@ from chatpulse.operators.lines import channel_events, format_lines, parse_lines,
 from chatpulse.operators.results import NO_MESSAGE, result_json
 from chatpulse.operators.scoring import (
     class_histogram,
-    message_stats,
     score_messages,
+    score_stats,
     score_with_lexicon_table,
     sentence_rows,
 )
@@ -145,7 +145,7 @@ def q_sentence_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_message_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = message_stats(score_messages(documents(spark, sf_dir), SCORER))
+    stats = score_stats(documents(spark, sf_dir), SCORER)
     return stats.select("seq", "sentence_count", "score_sum", "max_score", "min_score")
 
 

@@ -9,14 +9,10 @@ with that return type plugs in the same way.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chatpulse.schemas import SENTENCE_SCORES
-
 Scorer = Callable[[Column], Column]
 
 # Names of the five sentence classes, by score.
@@ -35,7 +31,8 @@ LOWEST_LABEL = "very negative"
 POSITIVE_FLOOR = 2.5
 NEGATIVE_CEILING = 1.5
 
-SENTENCE_BREAK = r"[.!?\n]+"
+# Sentences end at . ! ? or a line break and hold more than blanks.
+SENTENCE = r"[^.!?\n ][^.!?\n]*"
 TOKEN = r"[a-z]+"
 NEUTRAL_SCORE = 2
 TOP_SCORE = 4
@@ -43,10 +40,6 @@ TOP_SCORE = 4
 #: Beyond this many words a lexicon belongs in a table (``score_with_lexicon_table``).
 LITERAL_LEXICON_MAX = 5000
 
-#: Up to this many words, sentences are searched for them before being cut into tokens:
-#: one byte search per word costs less than tokenising, and most sentences hold no word.
-SEARCHED_LEXICON_MAX = 16
-
 #: Small general-purpose lexicon: token -> weight.
 ENGLISH_LEXICON: dict[str, int] = {
     "amazing": 2,
@@ -82,10 +75,13 @@ ENGLISH_LEXICON: dict[str, int] = {
 
 
 def sentences_of(text: Column) -> Column:
-    """Lower-case sentences of a text, blank ones dropped; empty for null or blank text."""
-    pieces = F.split(F.lower(text), SENTENCE_BREAK)
-    found = F.filter(pieces, lambda s: F.trim(s) != "")
-    return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
+    """Lower-case sentences of a text, blank ones dropped; empty for null or blank text.
+
+    Matching keeps its compiled pattern from row to row; splitting would compile it again
+    for every text.
+    """
+    found = F.regexp_extract_all(F.lower(text), F.lit(SENTENCE), F.lit(0))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def tokens_of(sentence: Column) -> Column:
@@ -116,42 +112,50 @@ def scored_sentences(scores: Column) -> Column:
     return F.transform(scores, lambda v: F.struct(v.alias("score"), class_name(v).alias("class")))
 
 
-def lexicon_scorer(weights: Mapping[str, int]) -> Scorer:
-    """Score a sentence as ``clamp(2 + sum of token weights, 0, 4)``, inside the plan.
+class LexiconScorer:
+    """Scores a sentence as ``clamp(2 + sum of token weights, 0, 4)``, inside the plan.
 
     The words become set-membership tests, so no shuffle, join or Python is involved.
     """
-    words = {word: int(weight) for word, weight in weights.items() if int(weight) != 0}
-    if not words:
-        raise ValueError("the lexicon has no words with a weight")
-    if len(words) > LITERAL_LEXICON_MAX:
-        raise ValueError(f"more than {LITERAL_LEXICON_MAX} words: keep the lexicon in a table")
-    by_weight: dict[int, list[str]] = {}
-    for word in sorted(words):
-        by_weight.setdefault(words[word], []).append(word)
-
-    def weight_of(token: Column) -> Column:
-        groups = iter(sorted(by_weight.items()))
-        weight, members = next(groups)
-        chain = F.when(token.isin(members), weight)
-        for weight, members in groups:
-            chain = chain.when(token.isin(members), weight)
+
+    def __init__(self, weights: Mapping[str, int]) -> None:
+        words = {word: int(weight) for word, weight in weights.items() if int(weight) != 0}
+        if not words:
+            raise ValueError("the lexicon has no words with a weight")
+        if len(words) > LITERAL_LEXICON_MAX:
+            raise ValueError(f"more than {LITERAL_LEXICON_MAX} words: keep the lexicon in a table")
+        self._by_weight: dict[int, list[str]] = {}
+        for word in sorted(words):
+            self._by_weight.setdefault(words[word], []).append(word)
+
+    def _weight_of(self, token: Column) -> Column:
+        cases = [(token.isin(members), weight) for weight, members in sorted(self._by_weight.items())]
+        condition, weight = cases[0]
+        chain = F.when(condition, weight)
+        for condition, weight in cases[1:]:
+            chain = chain.when(condition, weight)
         return chain.otherwise(0)
 
-    def token_score(sentence: Column) -> Column:
-        total = F.aggregate(tokens_of(sentence), F.lit(0), lambda acc, t: acc + weight_of(t))
+    def _sentence_score(self, sentence: Column) -> Column:
+        total = F.aggregate(tokens_of(sentence), F.lit(0), lambda acc, t: acc + self._weight_of(t))
         return clamp_score(total)
 
-    def sentence_score(sentence: Column) -> Column:
-        if len(words) > SEARCHED_LEXICON_MAX:
-            return token_score(sentence)
-        found = reduce(or_, [F.contains(sentence, F.lit(word)) for word in sorted(words)])
-        return F.when(found, token_score(sentence)).otherwise(NEUTRAL_SCORE)
+    def scores(self, text: Column) -> Column:
+        """Scores only, for summaries that never look at class names."""
+        return F.transform(sentences_of(text), self._sentence_score)
+
+    def __call__(self, text: Column) -> Column:
+        return scored_sentences(self.scores(text))
+
+
+def lexicon_scorer(weights: Mapping[str, int]) -> LexiconScorer:
+    return LexiconScorer(weights)
 
-    def score(text: Column) -> Column:
-        return scored_sentences(F.transform(sentences_of(text), sentence_score)).cast(SENTENCE_SCORES)
 
-    return score
+def scores_only(scorer: Scorer, text: Column) -> Column:
+    """Array of sentence scores, the short way where the scorer has one."""
+    check_scorer(scorer)
+    return scorer.scores(text) if hasattr(scorer, "scores") else scorer(text)["score"]
 
 
 def check_scorer(scorer: Scorer | None) -> Scorer:

@@ -10,6 +10,7 @@ from chatpulse.functions.sentiment import (
     check_scorer,
     clamp_score,
     class_name,
+    scores_only,
     sentences_of,
     tokens_of,
 )
@@ -20,22 +21,29 @@ def score_messages(messages: DataFrame, scorer: Scorer | None) -> DataFrame:
     return messages.withColumn("sentences", check_scorer(scorer)(F.col("message")))
 
 
-def message_stats(scored: DataFrame) -> DataFrame:
-    """Replace ``sentences`` by what a window needs: count, sum, highest, lowest.
-
-    A message without sentences has count and sum 0 and null extremes.
-    """
-    scores = F.col("sentences.score")
+def _with_stats(frame: DataFrame) -> DataFrame:
     return (
-        scored.withColumn("_scores", scores)
-        .withColumn("sentence_count", F.size("_scores"))
+        frame.withColumn("sentence_count", F.size("_scores"))
         .withColumn("score_sum", F.aggregate("_scores", F.lit(0), lambda acc, v: acc + v))
         .withColumn("max_score", F.array_max("_scores"))
         .withColumn("min_score", F.array_min("_scores"))
-        .drop("_scores", "sentences")
+        .drop("_scores")
     )
 
 
+def message_stats(scored: DataFrame) -> DataFrame:
+    """Replace ``sentences`` by what a window needs: count, sum, highest, lowest.
+
+    A message without sentences has count and sum 0 and null extremes.
+    """
+    return _with_stats(scored.withColumn("_scores", F.col("sentences.score"))).drop("sentences")
+
+
+def score_stats(messages: DataFrame, scorer: Scorer | None) -> DataFrame:
+    """``message_stats`` of ``score_messages`` without building the scored sentences."""
+    return _with_stats(messages.withColumn("_scores", scores_only(scorer, F.col("message"))))
+
+
 def sentence_rows(scored: DataFrame) -> DataFrame:
     """One row per sentence: ``sentence`` (position from 0), ``score``, ``class``."""
     others = [c for c in scored.columns if c not in ("sentences", "message")]

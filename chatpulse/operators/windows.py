@@ -39,7 +39,9 @@ def keep_newest(windowed: DataFrame, plan: WindowPlan = WindowPlan()) -> DataFra
     limit leaves at most ``limit`` rows per window and input task before the shuffle, and a
     window holding most of the table is spread over ``shards`` tasks. The second ranking
     sees at most ``limit * shards`` rows of a window. The newest rows of a whole are among
-    the newest rows of its parts, so the split never changes the result.
+    the newest rows of its parts, so the split never changes the result. (Spark applies the
+    group limit up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000; beyond it the
+    result is the same, but whole windows travel to their shards.)
     """
     newest_first = [F.col(name).desc() for name in plan.order]
     thinned = windowed

@@ -13,7 +13,7 @@ from chatpulse.operators.enrichment import (
     window_prompts,
     window_requests,
 )
-from chatpulse.operators.scoring import message_stats, score_messages
+from chatpulse.operators.scoring import score_stats
 from chatpulse.operators.summary import (
     SUMMARY_COLUMNS,
     summary_aggregates,
@@ -32,7 +32,7 @@ def summarise_kept(
     kept: DataFrame, scorer: Scorer, plan: WindowPlan = WindowPlan(), true_extremes: bool = False
 ) -> DataFrame:
     """Classifier branch. Only kept rows are scored: the limit comes first and costs no text work."""
-    return window_summary(message_stats(score_messages(kept, scorer)), plan, true_extremes)
+    return window_summary(score_stats(kept, scorer), plan, true_extremes)
 
 
 def sentiment_branch(messages: DataFrame, scorer: Scorer, plan: WindowPlan = WindowPlan()) -> DataFrame:
@@ -46,7 +46,7 @@ def unlimited_summary(messages: DataFrame, scorer: Scorer, plan: WindowPlan = Wi
     so neither the state nor the shuffle grows with the number of messages.
     """
     span = F.window(F.col(plan.order[0]), plan.duration, startTime=plan.offset)
-    stats = message_stats(score_messages(messages, scorer))
+    stats = score_stats(messages, scorer)
     grouped = stats.groupBy(span.alias("_span"), *plan.keys).agg(*summary_aggregates(plan))
     bounds = [F.col("_span.start").alias("win_start"), F.col("_span.end").alias("win_end")]
     return with_label(grouped).select(*plan.keys, *bounds, *SUMMARY_COLUMNS)

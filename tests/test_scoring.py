@@ -7,6 +7,7 @@ from chatpulse.operators.scoring import (
     class_histogram,
     message_stats,
     score_messages,
+    score_stats,
     score_with_lexicon_table,
     sentence_rows,
 )
@@ -49,7 +50,7 @@ def test_sentences_keep_their_order_and_stop_at_the_ends(spark):
     assert [(r.sentence, r.score) for r in rows] == [(0, 4), (1, 0), (2, 2), (3, 2)]
 
 
-def test_short_and_long_lexicons_score_alike(spark):
+def test_words_of_any_number_score_alike(spark):
     short = {"good": 1, "bad": -1, "awful": -2}
     filler = {f"filler{chr(97 + i)}": 1 for i in range(26)}
     frame = messages(spark, [(0, "good, bad. awful good"), (1, "goods. badly bad"), (2, "été good")])
@@ -58,6 +59,19 @@ def test_short_and_long_lexicons_score_alike(spark):
     assert found == wanted
 
 
+def test_stats_do_not_depend_on_the_way(spark):
+    frame = messages(spark, [(0, "Good. bad! Terrible"), (1, ""), (2, None), (3, " .\n\t. x")])
+
+    def plug_in(text):
+        return ENGLISH(text)
+
+    wanted = message_stats(score_messages(frame, ENGLISH)).orderBy("seq").collect()
+    for scorer in (ENGLISH, plug_in):
+        assert score_stats(frame, scorer).orderBy("seq").collect() == wanted
+    with pytest.raises(ValueError, match="no scorer"):
+        score_stats(frame, None)
+
+
 @pytest.mark.parametrize("threshold, join", [("10MB", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
 def test_lexicon_table_scores_like_the_literal_lexicon(spark, threshold, join):
     texts = ["Good. Bad good! Terrible", "", None, " . ", "nothing here", "!good", "awful awful. great", "12. 3"]
