@@ -40,7 +40,7 @@ from chatpulse.operators.scoring import (
     sentence_rows,
 )
 from chatpulse.operators.summary import rollup_windows
-from chatpulse.operators.windows import assign_windows, tumbling_count
+from chatpulse.operators.windows import tumbling_count
 from chatpulse.plans.branches import (
     kept_messages,
     narrative_requests,
@@ -276,7 +276,7 @@ def q_llm_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def result_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both result kinds. Each classifier result is preceded by an empty one (seq 0) that
-    the real one (seq 1) replaces; one line of each feed cannot be parsed."""
+    the real one (seq 1) replaces."""
     summary = summaries(spark, sf_dir)
     opened = summary.select(
         *summary.columns, F.explode(F.array(F.lit(0), F.lit(1))).alias("seq")

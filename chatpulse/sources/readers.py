@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatpulse.config import KafkaSettings
-from chatpulse.schemas import CHAT_EVENT, RESULT_FEED
+from chatpulse.schemas import CHAT_EVENT, MESSAGE, RESULT_FEED
 
 #: Arrival order of rows read from Kafka.
 KAFKA_ORDER = ("arrival", "partition", "offset")
@@ -54,6 +54,11 @@ def line_table(spark: SparkSession, path: str, schema: T.StructType, streaming:
     return _reader(spark, streaming).schema(schema).parquet(path)
 
 
+def message_table(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Parsed messages stored as parquet."""
+    return line_table(spark, path, MESSAGE, streaming)
+
+
 def chat_events(
     spark: SparkSession, path: str, fmt: str = "json", streaming: bool = False
 ) -> DataFrame:

@@ -6,7 +6,9 @@ from chatpulse.config import KafkaSettings
 from chatpulse.operators.lines import channel_events, format_lines, parse_lines
 from chatpulse.session import checkpoint_root, stream_settings
 from chatpulse.sources import readers
-from chatpulse.sources.readers import chat_events, text_lines
+from chatpulse.schemas import MESSAGE
+from chatpulse.sources.readers import chat_events, message_table, text_lines
+from chatpulse.sources.tables import event_messages
 from chatpulse.sources.writers import both, table_sink, write_lines
 
 
@@ -30,6 +32,15 @@ def test_other_line_separators_keep_line_breaks_in_messages(spark, tmp_path):
     assert [r.message for r in rows] == ["a\nb", "c"]
 
 
+def test_stored_messages_have_the_declared_type(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    event_messages(events).write.parquet(path)
+    stored = message_table(spark, path)
+    assert stored.schema == MESSAGE
+    assert sorted(stored.collect()) == sorted(event_messages(events).collect())
+
+
 def test_repeated_batch_replaces_its_rows(spark, tmp_path):
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
     sink = both(table_sink(one), table_sink(two))
