@@ -2,6 +2,7 @@ import json
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from chatpulse.config import EnrichSettings, WindowPlan
 from chatpulse.functions.sentiment import ENGLISH_LEXICON, lexicon_scorer
@@ -65,6 +66,22 @@ def test_stream_gives_the_batch_result(spark, tmp_path, many):
     assert rows(found, *wanted.columns) == rows(wanted)
 
 
+def test_one_window_with_most_rows_in_keyed_streams(spark, tmp_path):
+    source, work = str(tmp_path / "in"), str(tmp_path / "work")
+    plan = WindowPlan(limit=7, keys=("channel",), state_shards=3)
+    texts = [(i / 60 if i % 3 else 60 + i, f"{TEXTS[i % 6]} {i}") for i in range(3000)]
+    frame = messages(spark, texts).withColumn("channel", F.concat(F.lit("C"), F.col("seq") % 2)).repartition(4)
+    frame.write.parquet(source)
+    query = start_windows(
+        stream_of(spark, source), ENGLISH, work, plan, summaries=table_sink(f"{work}/out"), trigger=None, partitions=4
+    )
+    run(query)
+    wanted = sentiment_branch(frame, ENGLISH, plan).where("win_end <= timestamp'2024-01-01 00:50:00'")
+    found = spark.read.parquet(f"{work}/out").drop("batch_id")
+    assert wanted.where("win_start = timestamp'2024-01-01'").count() == 2
+    assert rows(found, *wanted.columns) == rows(wanted)
+
+
 def test_restart_goes_on_without_repeating_windows(spark, tmp_path, many):
     source, work = str(tmp_path / "in"), str(tmp_path / "work")
     store(many.where("seq < 130"), source)
