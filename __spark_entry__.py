@@ -326,8 +326,22 @@ def q_stream_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_comparison(result_feed(spark, sf_dir), MINUTE)
 
 
+def _text_jobs():
+    """The training-text subpackage and its pipeline; None for both where they are not installed."""
+    try:
+        import chatpulse.llm.queries as jobs
+        import corpus_pipeline as pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("chatpulse.llm", "chatpulse.llm.queries", "corpus_pipeline"):
+            raise
+        return None, None
+    return jobs, pipeline
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    jobs, pipeline = _text_jobs()
+    return own | jobs.queries() | {"pipeline": pipeline.run} if jobs else own
 
 
 # --- the same queries in SQL ------------------------------------------------------
@@ -491,6 +505,11 @@ _CLOSED = "win_end <= (SELECT max(time_bucket(INTERVAL '1 minute', arrival)) FRO
 
 
 def oracle_sql() -> dict[str, str]:
+    jobs, _ = _text_jobs()
+    return _own_sql() | (jobs.oracle_sql() if jobs else {})
+
+
+def _own_sql() -> dict[str, str]:
     extremes = "SELECT win_start, win_end, max_score, min_score, most_positive, most_negative FROM summary"
     return {
         "source_messages": f'WITH {_EVENT_MSGS} SELECT arrival, seq, event_time, "user", message FROM msgs',

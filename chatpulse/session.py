@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -60,16 +59,13 @@ def stream_settings(spark: SparkSession, partitions: int | None = None) -> Itera
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting falls back to a folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. A session without that setting uses a folder
+    in its warehouse, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="chatpulse-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
