@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
 import numpy as np
 
-#: A byte-level BPE cuts before a blank that precedes a visible character, whatever stands
-#: around it; the pieces between such places are encoded on their own.
-BREAK = re.compile(r"(?= [!-~À-ɏ])")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: Places where the usual byte-level pattern cuts whatever stands around them: before a blank
+#: that precedes a visible character, between a letter and ASCII punctuation, a digit or a line
+#: feed, and between a single line feed and a letter. What lies between is encoded on its own.
+BREAK = re.compile(rf"(?= [!-~À-ɏ])|(?<=[{_LETTER}])(?=[!-@\[-`{{-~\n])|(?<=\S\n)(?=[{_LETTER}])")
+
+
+#: Pieces that may follow anything, and such as may stand between line feeds.
+AFTER_ANY, WORD = re.compile(r" [!-~À-ɏ]"), re.compile(rf"[{_LETTER}]+")
 
 
 class WordTokens:
@@ -21,7 +28,7 @@ class WordTokens:
     bounded in number and length, so memory doesn't grow with the input.
     """
 
-    def __init__(self, path: str, kept: int = 150_000, longest: int = 40):
+    def __init__(self, path: str, kept: int = 300_000, longest: int = 24):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -29,38 +36,65 @@ class WordTokens:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.byte_level = '"type":"ByteLevel","add_prefix_space":false' in self.tokenizer.to_str().replace(" ", "")
+        parts = json.loads(self.tokenizer.to_str())
+        cutter = parts["pre_tokenizer"] or {}
+        self.byte_level = (
+            parts["normalizer"] is None
+            and cutter.get("type") == "ByteLevel"
+            and not cutter.get("add_prefix_space")
+            and cutter.get("use_regex")
+            and not parts["model"].get("dropout")
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        #: UTF-8 bytes of each id; in a byte-level vocabulary one character stands for one byte.
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token)
         self.kept, self.longest, self.known = kept, longest, {}
 
-    def _pieces(self, text: str) -> list[str]:
-        if not self.byte_level or any(token in text for token in self.added):
-            return [text]
-        return BREAK.split(text)
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that stay apart when joined, parted again by the bytes that the ids stand for."""
+        out = {}
+        for at in range(0, len(pieces), 4000):
+            part = pieces[at : at + 4000]
+            ids = self._encode("".join(part))
+            ends = np.cumsum(self.n_bytes[np.frombuffer(ids, "<u4")])
+            sizes = np.cumsum([len(p.encode()) for p in part])
+            cuts = (4 * (np.searchsorted(ends, sizes) + 1)).tolist()
+            start = 0
+            for piece, cut in zip(part, cuts):
+                out[piece] = ids[start:cut]
+                start = cut
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [self._pieces(text) for text in texts]
-        known = self.known
-        missing = list({piece for pieces in cut for piece in pieces if piece not in known})
-        found = {
-            piece: np.array(encoding.ids, dtype="<u4").tobytes()
-            for at in range(0, len(missing), 20_000)
-            for part in [missing[at : at + 20_000]]
-            for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False))
-        }
-        if len(known) + len(found) > self.kept:
-            found |= {piece: known[piece] for pieces in cut for piece in pieces if piece in known}
-            known.clear()
-        out = []
-        for pieces in cut:
-            out.append(b"".join([known[p] if p in known else found[p] for p in pieces]))
-        room = self.kept - len(known)
+        plain = [self.byte_level and not any(token in text for token in self.added) for text in texts]
+        cut = [BREAK.split(text) if p else [] for text, p in zip(texts, plain)]
+        held = [list(map(self.known.get, pieces)) for pieces in cut]
+        missing: dict[str, None] = {}
+        for pieces, values in zip(cut, held):
+            if None in values:
+                missing.update(dict.fromkeys([p for p, v in zip(pieces, values) if v is None]))
+        found = self._learn([p for p in missing if AFTER_ANY.match(p)])
+        words = self._learn(["\n" + p for p in missing if WORD.fullmatch(p)])
+        found |= {piece[1:]: ids[4:] for piece, ids in words.items()}
+        for piece in missing:
+            if piece not in found:
+                found[piece] = self._encode(piece) if piece else b""
+        for pieces, values in zip(cut, held):
+            if None in values:
+                values[:] = [found[p] if v is None else v for p, v in zip(pieces, values)]
+        room = self.kept - len(self.known)
         for piece, ids in found.items():
             if room <= 0:
                 break
             if len(piece) <= self.longest:
-                known[piece] = ids
+                self.known[piece] = ids
                 room -= 1
-        return out
+        return [b"".join(values) if p else self._encode(text) for text, p, values in zip(texts, plain, held)]
 
 
 def in_slices(texts: list[str], characters: int = 2_000_000):
