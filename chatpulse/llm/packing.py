@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatpulse.llm.common import map_arrow, text_or_empty
-from chatpulse.llm.tokens import WordTokens, in_slices
+from chatpulse.llm.tokens import TextTokens, in_slices
 
 SEPARATOR = b"\x00\x00\x00\x00"
 PIECES = (
@@ -114,7 +114,7 @@ def pack_documents(
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokens(tokenizer_path)
+        encoder = TextTokens(tokenizer_path)
         bins = HarmonicBins(capacity, grain, TaskContext.get().partitionId() << 40)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatpulse.llm.common import map_arrow, text_or_empty
-from chatpulse.llm.tokens import WordTokens, in_slices
+from chatpulse.llm.tokens import TextTokens, in_slices
 
 
 def tokenizer_digest(path: str) -> str:
@@ -33,7 +33,7 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _encode(texts: DataFrame, tokenizer_path: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokens(tokenizer_path)
+        encoder = TextTokens(tokenizer_path)
         for batch in batches:
             values = batch.column(1).to_pylist()
             counts = [len(ids) // 4 for a, b in in_slices(values) for ids in encoder.ids(values[a:b])]

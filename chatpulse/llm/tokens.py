@@ -1,4 +1,4 @@
-"""Exact token ids of whole texts, with the ids of repeated words kept per task."""
+"""Token ids of whole texts as the ``tokenizers`` library gives them."""
 
 from __future__ import annotations
 
@@ -8,27 +8,45 @@ import re
 
 import numpy as np
 
-_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Places where the usual byte-level pattern cuts whatever stands around them: before a blank
-#: that precedes a visible character, between a letter and ASCII punctuation, a digit or a line
-#: feed, and between a single line feed and a letter. What lies between is encoded on its own.
-BREAK = re.compile(rf"(?= [!-~À-ɏ])|(?<=[{_LETTER}])(?=[!-@\[-`{{-~\n])|(?<=\S\n)(?=[{_LETTER}])")
-
-
-#: Pieces that may follow anything, and such as may stand between line feeds.
-AFTER_ANY, WORD = re.compile(r" [!-~À-ɏ]"), re.compile(rf"[{_LETTER}]+")
-
-
-class WordTokens:
+#: Texts of these characters are cut into words alike by both libraries, whatever their Unicode version.
+LATIN = re.compile("[\x00-ɏ]*")
+#: How the pre-tokenizer of this kind cuts a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = [b for b in range(256) if b not in prints]
+    return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def merge_ranks(parts: dict) -> dict[bytes, int] | None:
+    """Bytes -> id of a byte-level BPE whose ids are in the order of its merges; None for any other tokenizer."""
+    model, cutter = parts["model"], parts["pre_tokenizer"] or {}
+    plain = cutter.get("type") == "ByteLevel" and not cutter.get("add_prefix_space") and cutter.get("use_regex", True)
+    odd = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if parts["normalizer"] or not plain or model.get("type") != "BPE" or any(model.get(x) for x in odd):
+        return None
+    vocabulary, alphabet = model["vocab"], byte_alphabet()
+    for i, merge in enumerate(model["merges"]):
+        joined = "".join(merge if isinstance(merge, list) else merge.split(" "))
+        if vocabulary.get(joined) != 256 + i:
+            return None
+    added = {token["content"] for token in parts["added_tokens"]}
+    ranks = {bytes(alphabet[c] for c in token): i for token, i in vocabulary.items() if token not in added}
+    return ranks if sorted(ranks.values()) == list(range(256 + len(model["merges"]))) else None
+
+
+class TextTokens:
     """Ids as little-endian 32-bit bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    Only for tokenizers whose pre-tokenizer is byte-level with the usual pattern; others
-    are given whole texts. Texts holding the string of an added token are encoded whole,
-    as the tokenizer treats what surrounds such a token differently. The kept words are
-    bounded in number and length, so memory doesn't grow with the input.
+    For a byte-level BPE the ids of Latin texts come from ``tiktoken`` on the merges of the same
+    file, in a third of the time. Other texts, those that hold the string of an added
+    token, and all texts of other tokenizers go to ``tokenizers`` itself.
     """
 
-    def __init__(self, path: str, kept: int = 300_000, longest: int = 24):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -36,65 +54,28 @@ class WordTokens:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        parts = json.loads(self.tokenizer.to_str())
-        cutter = parts["pre_tokenizer"] or {}
-        self.byte_level = (
-            parts["normalizer"] is None
-            and cutter.get("type") == "ByteLevel"
-            and not cutter.get("add_prefix_space")
-            and cutter.get("use_regex")
-            and not parts["model"].get("dropout")
-        )
-        vocabulary = self.tokenizer.get_vocab()
-        #: UTF-8 bytes of each id; in a byte-level vocabulary one character stands for one byte.
-        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.n_bytes[i] = len(token)
-        self.kept, self.longest, self.known = kept, longest, {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that stay apart when joined, parted again by the bytes that the ids stand for."""
-        out = {}
-        for at in range(0, len(pieces), 4000):
-            part = pieces[at : at + 4000]
-            ids = self._encode("".join(part))
-            ends = np.cumsum(self.n_bytes[np.frombuffer(ids, "<u4")])
-            sizes = np.cumsum([len(p.encode()) for p in part])
-            cuts = (4 * (np.searchsorted(ends, sizes) + 1)).tolist()
-            start = 0
-            for piece, cut in zip(part, cuts):
-                out[piece] = ids[start:cut]
-                start = cut
-        return out
+        self.quick = None
+        if ranks := merge_ranks(json.loads(self.tokenizer.to_str())):
+            import tiktoken
+
+            self.quick = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _is_plain(self, text: str) -> bool:
+        return (text.isascii() or LATIN.fullmatch(text)) and not any(token in text for token in self.added)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        plain = [self.byte_level and not any(token in text for token in self.added) for text in texts]
-        cut = [BREAK.split(text) if p else [] for text, p in zip(texts, plain)]
-        held = [list(map(self.known.get, pieces)) for pieces in cut]
-        missing: dict[str, None] = {}
-        for pieces, values in zip(cut, held):
-            if None in values:
-                missing.update(dict.fromkeys([p for p, v in zip(pieces, values) if v is None]))
-        found = self._learn([p for p in missing if AFTER_ANY.match(p)])
-        words = self._learn(["\n" + p for p in missing if WORD.fullmatch(p)])
-        found |= {piece[1:]: ids[4:] for piece, ids in words.items()}
-        for piece in missing:
-            if piece not in found:
-                found[piece] = self._encode(piece) if piece else b""
-        for pieces, values in zip(cut, held):
-            if None in values:
-                values[:] = [found[p] if v is None else v for p, v in zip(pieces, values)]
-        room = self.kept - len(self.known)
-        for piece, ids in found.items():
-            if room <= 0:
-                break
-            if len(piece) <= self.longest:
-                self.known[piece] = ids
-                room -= 1
-        return [b"".join(values) if p else self._encode(text) for text, p, values in zip(texts, plain, held)]
+        out: list[bytes] = [b""] * len(texts)
+        rest = []
+        for i, text in enumerate(texts):
+            if self.quick and self._is_plain(text):
+                out[i] = self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+            else:
+                rest.append(i)
+        if rest:
+            found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+            for i, encoding in zip(rest, found):
+                out[i] = np.array(encoding.ids, "<u4").tobytes()
+        return out
 
 
 def in_slices(texts: list[str], characters: int = 2_000_000):
