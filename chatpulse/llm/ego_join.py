@@ -146,9 +146,10 @@ def block_pairs(boxes: DataFrame, blocks: int, k: int, radius: float, fan: int =
         lows = [F.min(F.col("lo")[j]) for j in range(k)]
         highs = [F.max(F.col("hi")[j]) for j in range(k)]
         at = boxes.groupBy(node.alias("node")).agg(F.array(*lows).alias("lo"), F.array(*highs).alias("hi"))
-        parts = F.array(*[F.lit(i) for i in range(fan)])
-        pairs = pairs.select((F.col("a") * fan + F.explode(parts)).alias("a"), "b")
-        pairs = pairs.select("a", (F.col("b") * fan + F.explode(parts)).alias("b")).where(F.col("a") <= F.col("b"))
+        for side, other in ("ab", "ba"):
+            parts = F.array(*[F.col(side) * fan + i for i in range(fan)])
+            pairs = pairs.select(F.explode(parts).alias(side), other)
+        pairs = pairs.where(F.col("a") <= F.col("b"))
         for side in "ab":
             pairs = pairs.join(at.select(F.col("node").alias(side), F.col("lo").alias(f"{side}lo"), F.col("hi").alias(f"{side}hi")), side)
         pairs = pairs.where(_near("a", "b", k, radius)).select("a", "b")
