@@ -14,24 +14,36 @@ from pyspark.sql import functions as F
 from chatpulse.llm.common import map_arrow, text_bytes, write_once
 from chatpulse.llm.decontaminate import plain_words
 
-BITS = 18
 GRADES = 4  # 0 none, 1 mild, 2 clear, 3 severe
 
 
+#: Bytes of the word beginnings that count as features, so that inflected forms share what they tell.
+STEMS = (4, 5, 6)
+
+
 def features(text: bytes) -> np.ndarray:
-    """Hashed distinct words."""
-    return np.array(sorted({crc32(w) & ((1 << BITS) - 1) for w in set(plain_words(text))}), np.int64)
+    """Distinct words and word beginnings, hashed to 32 bits."""
+    words = set(plain_words(text))
+    found = set(map(crc32, words))
+    for n in STEMS:
+        found.update(map(crc32, {w[:n] + b"*" for w in words if len(w) > n}))
+    return np.fromiter(found, np.int64, len(found))
 
 
 @dataclass
 class Model:
-    weights: np.ndarray  # shared by all thresholds
+    features: np.ndarray  # sorted
+    weights: np.ndarray  # of these, shared by all thresholds; all other features weigh nothing
     thresholds: np.ndarray  # ascending, GRADES - 1
 
     def expected(self, scores: np.ndarray) -> np.ndarray:
         """Sum over grades k >= 1 of P(grade >= k)."""
         return _sigmoid(scores[:, None] - self.thresholds).sum(1)
 
+    def score(self, features: np.ndarray) -> float:
+        at = np.minimum(np.searchsorted(self.features, features), len(self.features) - 1)
+        return float(self.weights[at[self.features[at] == features]].sum())
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
@@ -53,7 +65,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int, longest:
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
             sizes = [len(plain_words(t)) for t in texts]
-            found = [features(t).tolist() for t in texts]
+            found = [sorted(features(t).tolist()) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
                 names=["toxic", "n_words", "features"],
@@ -61,23 +73,32 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int, longest:
 
     chosen = F.broadcast(sample_ids(labels, train_docs))
     rows = docs.where(F.octet_length("text") <= longest).join(chosen, "doc_id").select("toxic", "text")
-    return write_once(map_arrow(rows, work, "toxic long, n_words long, features array<long>"), "toxicity-sample")
+    found = map_arrow(rows, work, "toxic long, n_words long, features array<long>")
+    # Copies of one text count once.
+    return write_once(found.dropDuplicates(["toxic", "n_words", "features"]), "toxicity-sample")
 
 
-def telling_features(rows: DataFrame, least_z: float, least_docs: int) -> dict[int, float]:
-    """Features whose share of toxic and other documents differs clearly, with their log odds ratio."""
+def telling_features(rows: DataFrame, least_z: float, of_strongest: float, least_docs: int) -> dict[int, float]:
+    """Features whose share of toxic and of other documents differs clearly, with their log odds ratio.
+
+    Clearly: the two-proportion z is at least ``least_z`` and a share ``of_strongest`` of the largest
+    one, so that of many rare words few pass by chance.
+    """
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return {}
+    n1, n0 = sizes[1], sizes[0]
     seen = rows.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(
         F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
     )
-    t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    odds = F.log(t / (sizes[1] + 1 - t)) - F.log(c / (sizes[0] + 1 - c))
-    z = odds / F.sqrt(1 / t + 1 / (sizes[1] + 1 - t) + 1 / c + 1 / (sizes[0] + 1 - c))
-    kept = seen.select("f", odds.alias("odds"), z.alias("z"), (F.col("t") + F.col("c")).alias("n"))
-    kept = kept.where((F.abs("z") >= least_z) & (F.col("n") >= least_docs))
-    return {r["f"]: r["odds"] for r in kept.collect()}  # at most 2**BITS
+    t, c = F.col("t"), F.col("c")
+    odds = F.log((t + 0.5) / (n1 + 0.5 - t)) - F.log((c + 0.5) / (n0 + 0.5 - c))
+    p = (t + c) / (n1 + n0)
+    z = F.abs(t / n1 - c / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n1 + 1 / n0))
+    kept = seen.where(t + c >= least_docs).select("f", odds.alias("odds"), z.alias("z")).where(F.col("z") >= least_z)
+    found = kept.collect()  # bounded by the sample's words
+    floor = of_strongest * max((r["z"] for r in found), default=0.0)
+    return {r["f"]: r["odds"] for r in found if r["z"] >= floor}
 
 
 def graded(rows: DataFrame, odds: dict[int, float]) -> DataFrame:
@@ -118,15 +139,15 @@ def gradient(model: Model, grades: np.ndarray, scores: np.ndarray, weights: np.n
 
 def fit_model(rows: DataFrame, odds: dict[int, float], rounds: int = 40, rate: float = 0.4, ridge: float = 1e-4) -> Model:
     """Adam on full gradients, each summed over the partitions of the sample by parameter."""
-    places = {f: i for i, f in enumerate(sorted(odds))}
-    size, cuts = len(places), GRADES - 1
+    kept = np.array(sorted(odds), np.int64)
+    size, cuts = len(kept), GRADES - 1
     sample = write_once(graded(rows, odds), "toxicity-grades")
-    values = np.concatenate([np.array([0.5 * odds[f] for f in sorted(odds)]), [0.0, 1.0, 1.0]])
+    values = np.concatenate([np.array([0.5 * odds[f] for f in kept.tolist()]), [0.0, 1.0, 1.0]])
     first, second = np.zeros(size + cuts), np.zeros(size + cuts)
 
     def of(values: np.ndarray) -> Model:
         steps = np.concatenate([values[size : size + 1], np.exp(values[size + 1 :])])
-        return Model(values[:size], np.cumsum(steps))
+        return Model(kept, values[:size], np.cumsum(steps))
 
     for t in range(1, rounds + 1):
         model = of(values)
@@ -135,7 +156,7 @@ def fit_model(rows: DataFrame, odds: dict[int, float], rounds: int = 40, rate: f
             total = np.zeros(size + cuts)
             for batch in batches:
                 grades = np.array(batch.column(0).to_pylist(), np.int64)
-                own = [np.array([places[f] for f in x], np.int64) for x in batch.column(1).to_pylist()]
+                own = [np.searchsorted(kept, np.array(x, np.int64)) for x in batch.column(1).to_pylist()]
                 scores = np.array([model.weights[x].sum() for x in own])
                 _, d_score, d_cuts = gradient(model, grades, scores, np.array(batch.column(2).to_pylist()))
                 total[size:] += d_cuts
@@ -153,19 +174,17 @@ def fit_model(rows: DataFrame, odds: dict[int, float], rounds: int = 40, rate: f
         slope = np.concatenate([total[:size] + ridge * values[:size], tail[:1], tail[1:] * np.exp(values[size + 1 :])])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         values = values - rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8) / np.sqrt(t)
-    model = of(values)
-    weights = np.zeros(1 << BITS)
-    weights[sorted(odds)] = model.weights
-    return Model(weights, model.thresholds)
+    return of(values)
 
 
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
-    reject_at: float = 0.8,
+    reject_at: float = 0.3,
     train_docs: int = 4000,
     longest: int = 20_000,
     least_z: float = 4.0,
+    of_strongest: float = 0.25,
     least_docs: int = 5,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -173,14 +192,14 @@ def score_toxicity(
     """One row per document: doc_id, severity (expected grade, 0 to 3), toxic (severity >= ``reject_at``).
 
     Fitted on at most ``train_docs`` labelled documents of either kind, of at most ``longest`` bytes, taken
-    by hash of the id. Every word of a whole text counts once. Null and empty texts have the
+    by hash of the id. Every word and word beginning of a whole text counts once. Null and empty texts have the
     lowest severity; null ids keep their rows; rows repeated under one id are scored
     each; if the labels hold only one kind, or no word tells them apart, severity is 0
     throughout; an empty table gives no rows. Other columns are ignored.
     """
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_bytes(text_column).alias("text"))
     rows = training_rows(narrow, labels, train_docs, longest)
-    odds = telling_features(rows, least_z, least_docs)
+    odds = telling_features(rows, least_z, of_strongest, least_docs)
     if not odds:
         return narrow.select("doc_id", F.lit(0.0).alias("severity"), F.lit(False).alias("toxic"))
     shared = docs.sparkSession.sparkContext.broadcast(vars(fit_model(rows, odds)))
@@ -188,7 +207,7 @@ def score_toxicity(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(**shared.value)
         for batch in batches:
-            scores = np.array([model.weights[features(t.as_py())].sum() for t in batch.column(1)])
+            scores = np.array([model.score(features(t.as_py())) for t in batch.column(1)])
             severity = model.expected(scores) if len(scores) else scores
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(severity), pa.array(severity >= reject_at, pa.bool_())], names=["doc_id", "severity", "toxic"]
