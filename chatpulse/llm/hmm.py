@@ -76,9 +76,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def corpus_counts(counts: DataFrame, texts: int, head_words: int, symbols: int) -> Corpus:
-    """``head_words`` bounds what is collected: the most frequent words, ties by the word."""
+    """``head_words`` bounds what is collected: all words of the highest counts, down to the last
+    count class (sixteen to a doubling) that still fits as a whole. Ties need no rule."""
     total = counts.agg(F.sum("c"), F.count("*")).first()
-    head = counts.orderBy(F.desc("c"), "word").limit(head_words).collect()
+    level = F.floor(F.log2("c") * 16).cast("int")
+    floor, room = None, head_words
+    for row in sorted(counts.groupBy(level.alias("k")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["k"]):
+        room -= row["n"]
+        if room < 0:
+            break
+        floor = row["k"]
+    head = [] if floor is None else counts.where(level >= floor).collect()
+    head.sort(key=lambda row: (-row["c"], bytes(row["word"])))
     known = {bytes(row["word"]): (i, row["c"]) for i, row in enumerate(head)}
     last = F.conv(F.hex(F.substring("word", -1, 1)), 16, 10).cast("int")
     per_class = np.zeros((2, CLASSES), np.int64)

@@ -105,8 +105,8 @@ def graded(rows: DataFrame, odds: dict[int, float]) -> DataFrame:
     """(grade, features, weight): toxic documents are graded by how densely telling words stand in them.
 
     The labels tell toxic from not. Toxic documents fall into thirds of (telling toxic words
-    per word), which gives the ordered grades 1 to 3; the others have grade 0. Both kinds
-    weigh the same in total.
+    per word), which gives the ordered grades 1 to 3; the others have grade 0. All rows weigh
+    the same, so a text without telling words gets the severity of such texts in the sample.
     """
     spark = rows.sparkSession
     toxic = spark.createDataFrame([(f,) for f, o in odds.items() if o > 0] or [(-1,)], "f long").agg(F.collect_set("f")).first()[0]
@@ -116,8 +116,7 @@ def graded(rows: DataFrame, odds: dict[int, float]) -> DataFrame:
     rows = rows.withColumn("density", F.when(F.col("toxic") == 1, density))
     cuts = rows.agg(F.percentile_approx("density", [1 / 3, 2 / 3])).first()[0] or [0.0, 0.0]
     grade = F.when(F.col("toxic") == 0, 0).when(F.col("density") <= cuts[0], 1).when(F.col("density") <= cuts[1], 2).otherwise(3)
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    weight = F.when(F.col("toxic") == 1, 0.5 / sizes.get(1, 1)).otherwise(0.5 / sizes.get(0, 1))
+    weight = F.lit(1.0 / max(rows.count(), 1))
     return rows.select(grade.alias("grade"), F.array_intersect("features", known).alias("features"), weight.alias("weight"))
 
 
@@ -189,7 +188,8 @@ def score_toxicity(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, severity (expected grade, 0 to 3), toxic (severity >= ``reject_at``).
+    """One row per document: doc_id, severity (expected grade, 0 to 3), toxic (severity >= ``reject_at``
+    and more than that of a text without telling words).
 
     Fitted on at most ``train_docs`` labelled documents of either kind, of at most ``longest`` bytes, taken
     by hash of the id. Every word and word beginning of a whole text counts once. Null and empty texts have the
@@ -208,9 +208,10 @@ def score_toxicity(
         model = Model(**shared.value)
         for batch in batches:
             scores = np.array([model.score(features(t.as_py())) for t in batch.column(1)])
-            severity = model.expected(scores) if len(scores) else scores
+            severity = model.expected(scores)
+            toxic = (severity >= reject_at) & (scores > 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(severity), pa.array(severity >= reject_at, pa.bool_())], names=["doc_id", "severity", "toxic"]
+                [batch.column(0), pa.array(severity), pa.array(toxic, pa.bool_())], names=["doc_id", "severity", "toxic"]
             )
 
     return map_arrow(narrow, work, "doc_id long, severity double, toxic boolean")

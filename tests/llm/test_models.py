@@ -1,0 +1,255 @@
+"""Models, vector links, decontamination and URL rules against brute force."""
+
+import itertools
+import math
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from chatpulse.llm import decontaminate, ego_join, hmm, kneser_ney, toxicity, url_rules
+from tests.llm.test_text_jobs import check_packing, roots_of
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return {name: spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels", "benchmark")}
+
+
+def test_forward_is_the_sum_over_paths():
+    random = np.random.default_rng(0)
+    model = hmm.Model(random.dirichlet([1] * 3), random.dirichlet([1] * 3, 3), random.dirichlet([1] * 5, 3).T)
+    texts = [np.array(t, np.int32) for t in ([4], [0, 1, 4], [2, 2, 3, 0, 4])]
+    for group, symbols, offsets in hmm.by_step(texts):
+        found = hmm.forward(model, symbols, offsets, len(group), keep=False)[0]
+        for i, value in zip(group, found):
+            total = 0.0
+            for path in itertools.product(range(3), repeat=len(texts[i])):
+                p = model.start[path[0]]
+                for t, s in enumerate(path):
+                    p *= model.emit[texts[i][t], s] * (model.step[path[t - 1], s] if t else 1)
+                total += p
+            assert value == pytest.approx(math.log(total))
+    start, step, emit = hmm.expected_counts(model, texts)
+    assert start.sum() == pytest.approx(3) and step.sum() == pytest.approx(6) and emit.sum(1) == pytest.approx(np.bincount(np.concatenate(texts), minlength=5))
+
+
+def test_hmm_scores(spark):
+    rows = [(i, " ".join(np.random.default_rng(i).choice(["La le", "les un", "the of", "an It"][i % 2 * 2 :][:2], 30))) for i in range(40)]
+    rows += [(50, None), (51, ""), (None, "the of"), (3, "the of"), (6, "never seen words"), (52, "the " * 5000)]
+    docs = spark.createDataFrame([(i, t, 0.0) for i, t in rows], "doc_id long, text string, base double").repartition(3)
+    found = hmm.score_texts(docs, states=3, head_words=5, symbols=3, rounds=4).collect()
+    held = lambda i: i is not None and crc32(str(i).encode()) % 5 == 1
+    words = lambda t: [w.lower() for w in (t or "").split()] + [None]
+    counts = Counter(w for i, t in rows if not held(i) for w in words(t))
+    n, v = sum(counts.values()), len(counts)
+    wanted = sorted((len(words(t)), sum(w in counts for w in words(t)), held(i), round(sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words(t)), 6)) for i, t in rows)
+    assert sorted((r["n_tokens"], r["n_known"], r["held_out"], round(r["base_score"], 6)) for r in found) == wanted
+    assert {r["train_tokens"] for r in found} == {n}
+    assert sum(r["score"] for r in found if r["held_out"]) > sum(r["base_score"] for r in found if r["held_out"])
+    assert hmm.score_texts(docs.where("false"), rounds=1).count() == 0
+
+
+def test_kneser_ney_sums_to_one(spark, tables):
+    texts = tables["documents"].limit(30).select(F.col("text").cast("binary").alias("text"))
+    table = kneser_ney.code_table(texts)
+    model = kneser_ney.collected(*kneser_ney.probabilities(texts, table, 3), table, 3)
+    codes = np.arange(int(table.max()) + 1)
+    seen = kneser_ney.padded(table[kneser_ney.code_points(b"the thing")], 3)[3:6]
+    for context in (seen[:2], np.array([0, 0]), np.array([5, 200]), np.array([1, int(seen[0])])):
+        total = sum(math.exp(model.log_probability(np.array([*context, c], np.uint8))[0]) for c in codes)
+        assert total == pytest.approx(1, abs=1e-6)
+
+
+def test_quality(spark, tables):
+    docs, labels = tables["documents"], tables["labels"]
+    odd = spark.createDataFrame([(None, "%%% ### " * 50, "xx"), (900, None, None), (901, "", "en"), (902, "Hi.", "en"), (903, "!!%%&&" * 2000, "en")], "doc_id long, text string, lang string")
+    both = docs.unionByName(odd, allowMissingColumns=True).withColumn("n_chars", F.lit("clash"))
+    found = {r["doc_id"]: r for r in kneser_ney.classify_quality(both, labels).collect()}
+    assert len(found) == 205 and found[900]["kept"] and found[901]["kept"] and not found[903]["kept"] and not found[None]["kept"]
+    good = [r["doc_id"] for r in labels.where("quality = 1").collect()]
+    assert sum(found[i]["kept"] for i in good) >= 0.97 * len(good)
+    kept = kneser_ney.drop_low_quality(both, labels)
+    assert kept.columns == both.columns and kept.where("doc_id is null").count() == 1
+    assert kneser_ney.classify_quality(both, labels.where("false")).where("kept").count() == 205
+    assert kneser_ney.classify_quality(both.where("false"), labels).count() == 0
+
+
+def test_quality_on_labels(spark):
+    """With 170 trusted documents to learn from; at sf0.001 there are under 40, and 7 of 11 bad ones are found.
+
+    What is missed are words repeated over and over: each of them is a likely one.
+    """
+    folder = SF.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    judged = kneser_ney.classify_quality(docs, labels).join(labels, "doc_id").select("quality", "kept").collect()
+    good, bad = ([r["kept"] for r in judged if r["quality"] == q] for q in (1, 0))
+    assert sum(good) >= 0.97 * len(good) and sum(not k for k in bad) >= 0.85 * len(bad)
+
+
+def test_ordinal_gradient():
+    random = np.random.default_rng(3)
+    model = toxicity.Model(np.zeros(1, np.int64), np.zeros(1), np.array([-0.5, 0.7, 1.9]))
+    grades, scores, weights = random.integers(0, 4, 20), random.normal(size=20), random.random(20)
+    loss, d_score, d_cuts = toxicity.gradient(model, grades, scores, weights)
+    for i in range(20):
+        moved = scores + 1e-6 * (np.arange(20) == i)
+        assert (toxicity.gradient(model, grades, moved, weights)[0] - loss) / 1e-6 == pytest.approx(d_score[i], abs=1e-4)
+    for k in range(3):
+        other = toxicity.Model(model.features, model.weights, model.thresholds + 1e-6 * (np.arange(3) == k))
+        assert (toxicity.gradient(other, grades, scores, weights)[0] - loss) / 1e-6 == pytest.approx(d_cuts[k], abs=1e-4)
+
+
+def test_toxicity(spark):
+    random = np.random.default_rng(4)
+    rows, labels = [], []
+    for i in range(300):
+        words = [f"w{k}" for k in random.integers(0, 400, 40)]
+        if i % 5 == 0:
+            words[: 1 + i % 4] = [["vile", "Nasty!", "foul"][k % 3] for k in range(1 + i % 4)]
+        rows.append((i, " ".join(words), 0))
+        labels.append((i, 1, int(i % 5 == 0)))
+    rows += [(500, None, 0), (501, "", 0), (None, "vile nasty foul", 0), (502, "w1 " * 9000 + "vile nasty foul", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, severity int")
+    marks = spark.createDataFrame(labels + [(None, 1, 1), (5, 1, None)], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, marks).collect()}
+    assert len(found) == 304
+    assert sum(found[i]["toxic"] == (i % 5 == 0) for i in range(300)) >= 297
+    assert found[None]["toxic"] and found[502]["toxic"] and not found[500]["toxic"] and not found[501]["toxic"]
+    assert found[15]["severity"] > found[5]["severity"] or found[15]["severity"] > found[0]["severity"]
+    kept = toxicity.drop_toxic(docs, marks)
+    assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 1
+    assert toxicity.score_toxicity(docs, marks.where("toxic = 0")).where("toxic").count() == 0
+    assert toxicity.score_toxicity(docs.where("false"), marks).count() == 0
+
+
+def test_vector_links(spark):
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(12, 6))
+    vectors = [(c + 0.12 * random.normal(size=6)).tolist() for c in centres for _ in range(12)]
+    vectors += [vectors[0]] * 3 + [[2 * x for x in vectors[0]], None, [], [0.0] * 6, [1.0, None, 1.0, 1.0, 1.0, 1.0], [math.nan] + [1.0] * 5, [math.inf] + [1.0] * 5, [1.0, 0.0], [2.0, 0.0], [0.0, 1.0]]
+    rows = [(i, v, "x") for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, blob string").repartition(3)
+    usable = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in rows if v and None not in v and np.isfinite(v).all() and any(v)}
+    links = [(a, b) for a, b in itertools.combinations(usable, 2) if len(usable[a]) == len(usable[b]) and usable[a] @ usable[b] >= 0.95]
+    degree, root = Counter(x for link in links for x in link), roots_of(range(len(rows)), links)
+    for block in (16, 2048):
+        found = {r["vec_id"]: r for r in ego_join.embedding_links(frame, axes=4, grid=2, block=block).collect()}
+        assert len(found) == len(rows)
+        assert {i: r["n_links"] for i, r in found.items()} == {i: degree[i] for i in root}
+        assert {i: r["component_id"] for i, r in found.items()} == root and all(r["kept"] == (i == root[i]) for i, r in found.items())
+    assert ego_join.embedding_links(frame.where("false")).count() == 0 and ego_join.embedding_links(frame.where("vec_id = 148")).count() == 1
+
+
+def naive_span(item, words):
+    best = None
+    for a in range(len(words) + 1):
+        row = list(range(len(item) + 1))
+        for b in range(a, len(words) + 1):
+            if b > a:
+                new = [row[0] + 1]
+                for k, w in enumerate(item):
+                    new.append(min(new[-1] + 1, row[k + 1] + 1, row[k] + (w != words[b - 1])))
+                row = new
+            best = min(best, row[-1]) if best is not None else row[-1]
+    return best
+
+
+def test_best_span():
+    random = np.random.default_rng(6)
+    for _ in range(150):
+        item, words = ([f"{k}" for k in random.integers(0, 4, n)] for n in random.integers(1, 9, 2))
+        edits, start, end = decontaminate.best_span(item, words)
+        assert edits == naive_span(item, words) == naive_span_of(item, words[start:end])
+
+
+def naive_span_of(item, words):
+    row = list(range(len(item) + 1))
+    for w in words:
+        new = [row[0] + 1]
+        for k, x in enumerate(item):
+            new.append(min(new[-1] + 1, row[k + 1] + 1, row[k] + (x != w)))
+        row = new
+    return row[-1]
+
+
+def test_decontamination(spark):
+    random = np.random.default_rng(7)
+    word = lambda n: [f"v{k}" for k in random.integers(0, 3000, n)]
+    items = [word(int(n)) for n in random.integers(8, 60, 60)]
+    docs, planted = [], 0
+    for i, item in enumerate(items):
+        copy = list(item)
+        for _ in range(decontaminate.edits_allowed(len(item), 0.8)):
+            k, kind = int(random.integers(0, len(copy))), random.integers(0, 3)
+            copy[k : k + (kind != 1)] = [] if kind == 2 else word(1)
+        docs.append((i, " ".join(word(40) + copy + word(60))))
+        docs.append((100 + i, " ".join(word(300) + [w.upper() + "," for w in item] + word(200))))
+        docs.append((200 + i, " ".join(word(200))))
+    docs += [(None, " ".join(items[0])), (400, None), (401, ""), (100, docs[1][1]), (402, " ".join(word(9000) + items[1] + word(9000)))]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(items)] + [(90, None, "x"), (91, "too few", "x"), (None, " ".join(items[2]), "x")], "item_id long, text string, words string")
+    found = decontaminate.find_benchmark(frame, bench).collect()
+    pairs = {(r["doc_id"], r["item_id"]) for r in found}
+    assert len(pairs) == len(found) and all(r["edits"] <= 0.2 * r["item_words"] for r in found)
+    assert all((100 + i, i) in pairs for i in range(60)) and (402, 1) in pairs and (None, 0) in pairs and (102, None) in pairs
+    assert sum((i, i) in pairs for i in range(60)) >= 58
+    assert not any(d is not None and 200 <= d < 300 for d, _ in pairs)
+    kept = decontaminate.drop_contaminated(frame, bench)
+    assert kept.columns == frame.columns and kept.where("doc_id >= 200 and doc_id < 300").count() == 60
+    assert decontaminate.find_benchmark(frame, bench.where("false")).count() == 0
+    assert decontaminate.find_benchmark(frame.where("false"), bench).count() == 0
+
+
+URLS = {
+    "https://WWW.Example.ORG/es/1": ("www.example.org", "/es/1", "example.org/es/", "block"),
+    "http://example.org": ("example.org", "", None, "allow"),
+    "http://example.org/en/12?x": ("example.org", "/en/12", "example.org/en/1", "block"),
+    "http://other.org/de/": ("other.org", "/de/", "org/", "allow"),
+    "ftp://badexample.org/es/#y": ("badexample.org", "/es/", "org/", "allow"),
+    "http://a.com/fr": ("a.com", "/fr", "com/fr", "allow"),
+    "http://com/de/1": ("com", "/de/1", "com/de/", "block"),
+    "http://q.net?x=http://a.com/de/": ("q.net", "", None, "allow"),
+    "no-scheme.com/de/": ("", "", None, "allow"),
+    "": ("", "", None, "allow"),
+    None: ("", "", None, "allow"),
+}
+
+
+def test_url_rules(spark):
+    rows = [(i, u, "x") for i, u in enumerate(URLS)]
+    pages = spark.createDataFrame(rows + [(None, "http://a.com/fr", "y"), (5, "http://a.com/fr", "y")], "page_id long, url string, rule string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    found = url_rules.judge_urls(pages, labels)
+    assert found.count() == len(rows) + 2
+    for r in found.where("page_id is not null").distinct().collect():
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == list(URLS.values())[r["page_id"]]
+    assert url_rules.judge_urls(pages.where("false"), labels).count() == 0
+
+
+def test_mined_rules(spark):
+    rows = [(i, f"http://h{i % 7}.net/{'win' if i % 3 == 0 else 'x'}/{'cash' if i % 2 == 0 else 'y'}/{i}") for i in range(240)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 6 != 0), 0) for i in range(200)] + [(None, 0, 1), (1, None, None)], "doc_id long, quality int, toxic int")
+    found = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(pages, labels, min_confidence=0.8).collect()}
+    assert found == {i: "block" if i % 6 == 0 else "allow" for i in range(240)}
+
+
+def test_pipeline(spark, tables):
+    docs = tables["documents"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF).cache()
+        assert out.columns == docs.columns and 0 < out.count() < docs.count(), name
+        docs = out
+    kept = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    from chatpulse.llm.packing import pack_documents
+    from chatpulse.llm.queries import tokenizer_path
+
+    check_packing(pack_documents(docs, tokenizer_path()), kept)
+    total = corpus_pipeline.run(spark, SF).agg(F.sum("length"), F.countDistinct("doc_id")).first()
+    assert total[1] == len(kept)
