@@ -69,10 +69,8 @@ DAY = WindowPlan(duration="1 day")
 SCORER = lexicon_scorer(TABLE_LEXICON)
 
 MODEL = "offline-model"
-#: Longest prompt the offline model takes, in characters.
-PROMPT_LIMIT = 130_000
-#: Windows with more sentences than this get no narrative in the comparison queries.
-SENTENCE_LIMIT = 1_700
+#: Of every five windows, the offline model is down for the third and answers in no known form for the fifth.
+EVERY, DOWN_AT, UNUSABLE_AT = 5, 2, 4
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +189,7 @@ def q_unlimited_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rollup_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup_windows(summaries(spark, sf_dir), "1 hour", MINUTE)
+    return rollup_windows(summaries(spark, sf_dir), "5 minutes", MINUTE)
 
 
 def q_conversation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +231,7 @@ def q_llm_request(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_llm_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = EnrichSettings(model=MODEL, wait_ms=0)
     requests = narrative_requests(_kept_documents(spark, sf_dir), settings, MINUTE)
-    replies = enrich(requests, offline_client_factory(PROMPT_LIMIT), settings, MINUTE)
+    replies = enrich(requests, offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT), settings, MINUTE)
     content = F.get_json_object("response", "$.choices[0].message.content")
     return replies.select(
         *MINUTE.group,
@@ -245,7 +243,7 @@ def q_llm_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def narrative_replies(summary: DataFrame) -> DataFrame:
-    """Model replies made from window rows; over-long windows have none."""
+    """Model replies made from window rows; of every five windows, the third has none."""
     content = F.to_json(
         F.struct(
             london_text("win_start").alias("start"),
@@ -261,7 +259,8 @@ def narrative_replies(summary: DataFrame) -> DataFrame:
     )
     message = F.struct(F.lit("assistant").alias("role"), content.alias("content"))
     response = F.to_json(F.struct(F.array(F.struct(message.alias("message"))).alias("choices")))
-    return summary.where(F.col("sentence_count") <= SENTENCE_LIMIT).select(
+    minute = F.floor(F.unix_seconds("win_start") / 60)
+    return summary.where(minute % EVERY != DOWN_AT).select(
         *MINUTE.group, response.alias("response")
     )
 
@@ -400,13 +399,13 @@ def _scored(source: str) -> str:
     return f"""
 cut AS (
   SELECT *, CASE WHEN length(message) > 0 THEN
-           list_filter(regexp_split_to_array(lower(message), '[.!?\\n]+'), lambda s: trim(s) <> '')
+           list_filter(regexp_split_to_array(lower(message), '[.!?\\n]+'), lambda s: regexp_matches(s, '[\\p{{L}}\\p{{N}}]'))
          ELSE [] END AS sents
   FROM {source}
 ),
 scored AS (
   SELECT * EXCLUDE (sents), list_transform(sents, lambda s: greatest(0, least(4, 2 + list_sum(
-           list_transform(regexp_split_to_array(s, '[^a-z]+'),
+           list_transform(regexp_split_to_array(s, '[^\\p{{L}}]+'),
                           lambda t: CASE t {weights} ELSE 0 END)))))::INTEGER[] AS scores
   FROM cut
 ),
@@ -466,6 +465,8 @@ prompts AS (
   FROM listed
 )"""
 
+_MINUTE = "(epoch_us(win_start) // 60000000)"
+
 _RESULTS = f"""{_SUMMARY},
 named AS (
   SELECT *, {_london('win_start')} || ' - ' || {_london('win_end')} AS window_key FROM summary
@@ -483,7 +484,7 @@ results AS (
   SELECT win_start, win_end, 1 AS seq, 'narrative' AS kind, window_key, overall_sentiment,
          coalesce(most_positive, 'N/A') AS most_positive, coalesce(most_negative, '') AS most_negative,
          message_count, message_count || ' messages were ' || overall_sentiment || '.' AS descriptive_paragraph
-  FROM named WHERE sentence_count <= {SENTENCE_LIMIT}
+  FROM named WHERE {_MINUTE} % {EVERY} <> {DOWN_AT}
 ),
 latest AS (
   SELECT * FROM results
@@ -501,8 +502,6 @@ _COMPARED = """
   FROM (SELECT * FROM latest WHERE kind = 'classifier') c
   JOIN (SELECT * FROM latest WHERE kind = 'narrative') n USING (win_start, win_end)"""
 
-_CLOSED = "win_end <= (SELECT max(time_bucket(INTERVAL '1 minute', arrival)) FROM msgs)"
-
 
 def oracle_sql() -> dict[str, str]:
     jobs, _ = _text_jobs()
@@ -549,9 +548,9 @@ def _own_sql() -> dict[str, str]:
         "unlimited_summary": f"""WITH {_DOCS}, {_windowed('1 minute')}, {_scored('windowed')}, {_summed()}
             SELECT * FROM summary""",
         "rollup_windows": f"""WITH {_DOCS}, {_windowed('1 minute')},
-            hourly AS (SELECT * REPLACE (time_bucket(INTERVAL '1 hour', arrival) AS win_start,
-                time_bucket(INTERVAL '1 hour', arrival) + INTERVAL '1 hour' AS win_end) FROM kept),
-            {_scored('hourly')}, {_summed()} SELECT * FROM summary""",
+            longer AS (SELECT * REPLACE (time_bucket(INTERVAL '5 minutes', arrival) AS win_start,
+                time_bucket(INTERVAL '5 minutes', arrival) + INTERVAL '5 minutes' AS win_end) FROM kept),
+            {_scored('longer')}, {_summed()} SELECT * FROM summary""",
         "conversation_summary": f"""WITH msgs AS (
               SELECT conv_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn * 10) AS arrival, turn AS seq,
                      role AS "user", text AS message FROM conversations),
@@ -564,11 +563,12 @@ def _own_sql() -> dict[str, str]:
             'system' AS first_role, '{SYSTEM_PROMPT}' AS first_content,
             'user' AS second_role, prompt AS second_content FROM prompts""",
         "llm_enrich": f"""{_PROMPTS},
-            sized AS (SELECT *, length(prompt) <= {PROMPT_LIMIT} AS fits FROM prompts)
-            SELECT win_start, win_end, CASE WHEN fits THEN 1 ELSE 3 END AS attempts,
-                   CASE WHEN NOT fits THEN 'prompt too long' END AS error,
-                   CASE WHEN fits THEN {_london('win_start')} END AS start_text,
-                   CASE WHEN fits THEN message_count END AS message_count FROM sized""",
+            turns AS (SELECT *, {_MINUTE} % {EVERY} AS turn FROM prompts)
+            SELECT win_start, win_end, CASE WHEN turn = {DOWN_AT} THEN 3 ELSE 1 END AS attempts,
+                   CASE WHEN turn = {DOWN_AT} THEN 'model unavailable' END AS error,
+                   CASE WHEN turn NOT IN ({DOWN_AT}, {UNUSABLE_AT}) THEN {_london('win_start')} END AS start_text,
+                   CASE WHEN turn NOT IN ({DOWN_AT}, {UNUSABLE_AT}) THEN message_count END AS message_count
+            FROM turns""",
         "llm_extract": f"""{_RESULTS} SELECT * EXCLUDE (seq, average_score) FROM results
             WHERE kind = 'narrative'""",
         "union_results": f"{_RESULTS} SELECT * FROM results",
@@ -576,8 +576,8 @@ def _own_sql() -> dict[str, str]:
         "compare_windows": f"{_RESULTS} {_COMPARED}",
         "unmatched_windows": f"""{_RESULTS} SELECT win_start, win_end, 'narrative' AS missing FROM latest
             GROUP BY win_start, win_end HAVING count(*) = 1""",
-        "stream_summary": f"{_SUMMARY} SELECT * FROM summary WHERE {_CLOSED}",
+        "stream_summary": f"{_SUMMARY} SELECT * FROM summary",
         "stream_unlimited": f"""WITH {_DOCS}, {_windowed('1 minute')}, {_scored('windowed')}, {_summed()}
-            SELECT * FROM summary WHERE {_CLOSED}""",
+            SELECT * FROM summary""",
         "stream_compare": f"{_RESULTS} {_COMPARED}",
     }

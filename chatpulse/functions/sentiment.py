@@ -31,15 +31,12 @@ LOWEST_LABEL = "very negative"
 POSITIVE_FLOOR = 2.5
 NEGATIVE_CEILING = 1.5
 
-# Sentences end at . ! ? or a line break and hold more than blanks.
-SENTENCE = r"[^.!?\n ][^.!?\n]*"
-TOKEN = r"[a-z]+"
+# Sentences end at . ! ? or a line break and hold a letter or digit. Tokens are letters of any script.
+SENTENCE = r"[^.!?\n\p{L}\p{N}]*[\p{L}\p{N}][^.!?\n]*"
+TOKEN = r"\p{L}+"
 NEUTRAL_SCORE = 2
 TOP_SCORE = 4
 
-#: Beyond this many words a lexicon belongs in a table (``score_with_lexicon_table``).
-LITERAL_LEXICON_MAX = 5000
-
 #: Small general-purpose lexicon: token -> weight.
 ENGLISH_LEXICON: dict[str, int] = {
     "amazing": 2,
@@ -115,15 +112,15 @@ def scored_sentences(scores: Column) -> Column:
 class LexiconScorer:
     """Scores a sentence as ``clamp(2 + sum of token weights, 0, 4)``, inside the plan.
 
-    The words become set-membership tests, so no shuffle, join or Python is involved.
+    The words become set-membership tests, so no shuffle, join or Python is involved. They are
+    part of the plan: a lexicon of tens of thousands of words is better kept in a table and
+    joined (``score_with_lexicon_table``).
     """
 
     def __init__(self, weights: Mapping[str, int]) -> None:
         words = {word: int(weight) for word, weight in weights.items() if int(weight) != 0}
         if not words:
             raise ValueError("the lexicon has no words with a weight")
-        if len(words) > LITERAL_LEXICON_MAX:
-            raise ValueError(f"more than {LITERAL_LEXICON_MAX} words: keep the lexicon in a table")
         self._by_weight: dict[int, list[str]] = {}
         for word in sorted(words):
             self._by_weight.setdefault(words[word], []).append(word)

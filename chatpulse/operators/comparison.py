@@ -57,12 +57,13 @@ RESULT_COLUMNS = (
 
 
 def _latest(group: list[str], results: DataFrame, seq: str) -> DataFrame:
-    newest = F.max_by(F.struct(*RESULT_COLUMNS), F.col(seq)).alias("_newest")
+    newest = F.max_by(F.struct(*RESULT_COLUMNS), F.struct(seq)).alias("_newest")
     return results.groupBy(*group, "kind").agg(newest, F.max(seq).alias(seq))
 
 
 def latest_per_window(results: DataFrame, plan: WindowPlan = WindowPlan(), seq: str = "seq") -> DataFrame:
-    """The last result of each window and kind; ``seq`` must be unique within them."""
+    """The last result of each window and kind; ``seq`` must be unique within them,
+    or null for at most one: a result without an order counts as the oldest and is never lost."""
     return _latest(plan.group, results, seq).select(*plan.group, "kind", seq, "_newest.*")
 
 
@@ -70,7 +71,7 @@ def _sides(results: DataFrame, group: list[str], seq: str) -> DataFrame:
     """Both kinds of a window in one row, from one shuffle and no join."""
 
     def side(kind: str) -> Column:
-        return F.max_by(F.struct(*RESULT_COLUMNS), F.when(F.col("kind") == kind, F.col(seq))).alias(kind)
+        return F.max_by(F.struct(*RESULT_COLUMNS), F.when(F.col("kind") == kind, F.struct(seq))).alias(kind)
 
     return results.groupBy(*group).agg(side(CLASSIFIER), side(NARRATIVE))
 

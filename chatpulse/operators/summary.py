@@ -82,13 +82,18 @@ def _earliest(pick: str) -> Column:
 
 def rollup_windows(summaries: DataFrame, duration: str, plan: WindowPlan = WindowPlan()) -> DataFrame:
     """Merge summaries of short windows into longer ones: counts and sums add up, the
-    earliest window that has a pick provides it."""
+    earliest window that has a pick provides it.
+
+    A window that doesn't lie within one of the longer ones can't be split and raises.
+    """
     span = F.window("win_start", duration, startTime=plan.offset)
+    uneven = F.raise_error(F.concat(F.lit(f"a window reaches over the end of its {duration}: "), F.col("win_start").cast("string")))
+    count = F.when(F.col("win_end") <= F.col("_span.end"), F.col("message_count")).otherwise(uneven.cast("bigint"))
     merged = (
         summaries.withColumn("_span", span)
         .groupBy(*plan.keys, F.col("_span.start").alias("long_start"), F.col("_span.end").alias("long_end"))
         .agg(
-            F.sum("message_count").alias("message_count"),
+            F.sum(count).alias("message_count"),
             F.sum("sentence_count").alias("sentence_count"),
             F.sum("score_sum").alias("score_sum"),
             F.max("max_score").alias("max_score"),

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import re
 from collections.abc import Callable
 
 
-def offline_client_factory(prompt_limit: int) -> Callable[[], Callable[[str], str]]:
-    """Clients that repeat a prompt's start and message count and refuse over-long prompts."""
+def offline_client_factory(every: int = 5, down_at: int = 2, unusable_at: int = 4) -> Callable[[], Callable[[str], str]]:
+    """Clients that repeat a prompt's start and message count.
+
+    Of every ``every`` one-minute windows, the model is down for the one at ``down_at`` (it raises, on each
+    attempt) and answers the one at ``unusable_at`` without JSON, whatever their size.
+    """
 
     def open_client() -> Callable[[str], str]:
         def call(request: str) -> str:
             prompt = json.loads(request)["messages"][1]["content"]
-            if len(prompt) > prompt_limit:
-                raise OSError("prompt too long")
             start = re.search(r"^Window Start: (.*)$", prompt, re.M).group(1)
             count = re.search(r"^Messages Processed: (\d+)$", prompt, re.M).group(1)
+            turn = int(dt.datetime.strptime(start, "%d/%m/%Y %H:%M:%S").replace(tzinfo=dt.UTC).timestamp()) // 60 % every
+            if turn == down_at:
+                raise OSError("model unavailable")
             content = json.dumps({"start": start, "messageCount": int(count)})
+            if turn == unusable_at:
+                content = "I can't say."
             return json.dumps({"choices": [{"message": {"role": "assistant", "content": content}}]})
 
         return call

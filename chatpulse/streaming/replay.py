@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatpulse.config import WindowPlan
 from chatpulse.functions.sentiment import Scorer
@@ -25,19 +26,30 @@ def _partitions(spark: SparkSession) -> int:
     return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
 
 
-def _document_stream(spark: SparkSession, path: str) -> DataFrame:
+def _document_stream(spark: SparkSession, path: str, plan: WindowPlan, folder: str) -> DataFrame:
+    """The table's messages and, as nothing comes after them, a marker that ends their last window.
+
+    The marker arrives two windows later and carries no message; its own window stays open.
+    """
     # As a pattern, the path may name one file as well as a folder of files.
     pattern = f"{path[:-1]}[{path[-1]}]"
-    return document_messages(line_table(spark, pattern, spark.read.parquet(path).schema, streaming=True))
+    stored = spark.read.parquet(path)
+    messages = document_messages(line_table(spark, pattern, stored.schema, streaming=True))
+    first = plan.order[0]
+    later = F.expr(f"max({first}) + INTERVAL '{plan.duration}' + INTERVAL '{plan.duration}'").alias(first)
+    marker = document_messages(stored).agg(later).where(F.col(first).isNotNull())
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in messages.schema.fields if f.name != first]
+    marker.select(first, *empty).select(*messages.columns).write.parquet(f"{folder}/end")
+    return messages.unionByName(spark.readStream.schema(messages.schema).parquet(f"{folder}/end"))
 
 
 def replay_summary(
     spark: SparkSession, path: str, scorer: Scorer, plan: WindowPlan = WindowPlan()
 ) -> DataFrame:
-    """Summaries of all closed windows of a documents table, through the stateful stream."""
+    """Summaries of all windows of a documents table, through the stateful stream."""
     folder = fresh_folder(spark, "replay-summary")
     out = f"{folder}/summaries"
-    messages = _document_stream(spark, path)
+    messages = _document_stream(spark, path, plan, folder)
     query = start_windows(
         messages, scorer, folder, plan, summaries=table_sink(out), trigger=None, partitions=_partitions(spark)
     )
@@ -50,7 +62,7 @@ def replay_unlimited(
 ) -> DataFrame:
     folder = fresh_folder(spark, "replay-unlimited")
     out = f"{folder}/summaries"
-    messages = _document_stream(spark, path)
+    messages = _document_stream(spark, path, plan, folder)
     query = start_unlimited(
         messages, scorer, folder, table_sink(out), plan, trigger=None, partitions=_partitions(spark)
     )

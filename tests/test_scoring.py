@@ -103,7 +103,7 @@ def test_class_histogram(spark):
     assert {(r["class"], r.sentences) for r in rows} == {("Positive", 2), ("Negative", 1)}
 
 
-@pytest.mark.parametrize("weights", [{}, {"x": 0}, {f"w{i}": 1 for i in range(5001)}])
+@pytest.mark.parametrize("weights", [{}, {"x": 0}])
 def test_unusable_lexicons_are_refused(weights):
     with pytest.raises(ValueError):
         lexicon_scorer(weights)
