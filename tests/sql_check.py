@@ -68,6 +68,8 @@ def main(argv: list[str]) -> int:
     sqls = entry.oracle_sql()
     bad = 0
     for name, query in entry.queries().items():
+        if name not in sqls:
+            continue
         if chosen and name not in chosen:
             continue
         started = time.time()
