@@ -25,6 +25,7 @@ from chatpulse.operators.comparison import (
 from chatpulse.operators.enrichment import (
     PROMPT_FORMAT,
     SYSTEM_PROMPT,
+    answered,
     enrich,
     extract_content,
     window_prompts,
@@ -43,13 +44,15 @@ from chatpulse.operators.summary import rollup_windows
 from chatpulse.operators.windows import tumbling_count
 from chatpulse.plans.branches import (
     kept_messages,
+    narrative_branch,
     narrative_requests,
     sentiment_branch,
     summarise_kept,
     unlimited_summary,
 )
-from chatpulse.session import pin_zone
+from chatpulse.session import pin_zone, store_once
 from chatpulse.sources.offline import offline_client_factory
+from chatpulse.sources.readers import KAFKA_ORDER
 from chatpulse.sources.tables import (
     TABLE_LEXICON,
     document_messages,
@@ -60,7 +63,7 @@ from chatpulse.sources.tables import (
     table,
     turn_messages,
 )
-from chatpulse.streaming.replay import replay_comparison, replay_summary, replay_unlimited
+from chatpulse.streaming.replay import replay_comparison, replay_published, replay_summary, replay_unlimited
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -276,7 +279,7 @@ def q_llm_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both result kinds. Each classifier result is preceded by an empty one (seq 0) that
     the real one (seq 1) replaces."""
-    summary = summaries(spark, sf_dir)
+    summary = store_once(summaries(spark, sf_dir), "summaries")
     opened = summary.select(
         *summary.columns, F.explode(F.array(F.lit(0), F.lit(1))).alias("seq")
     )
@@ -310,6 +313,32 @@ def q_unmatched_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unmatched_windows(read_results(result_feed(spark, sf_dir)), MINUTE)
 
 
+def q_compare_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same results as rows of topics: JSON, arrival, partition and offset, and no bounds."""
+    feed = result_feed(spark, sf_dir)
+    arrival = F.timestamp_seconds(F.unix_seconds("win_end") + F.col("seq"))
+    rows = feed.select("value", arrival.alias("arrival"), F.lit(0).alias("partition"), F.col("seq").alias("offset"))
+    return compare_windows(read_results(rows), MINUTE, KAFKA_ORDER)
+
+
+def enriched_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both branches over the same kept messages: summaries, and prompt, request, reply and content."""
+    kept = store_once(_kept_documents(spark, sf_dir), "kept")
+    classifier = result_json(summarise_kept(kept, SCORER, MINUTE), MINUTE)
+    client = offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT)
+    replies = narrative_branch(kept, client, EnrichSettings(model=MODEL, wait_ms=0), MINUTE)
+    narrative = extract_content(answered(store_once(replies, "replies"))).select(*MINUTE.group, "value")
+    return union_feeds(classifier, narrative).withColumn("seq", F.lit(0).cast("bigint"))
+
+
+def q_compare_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_windows(read_results(enriched_feed(spark, sf_dir)), MINUTE)
+
+
+def q_unmatched_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unmatched_windows(read_results(enriched_feed(spark, sf_dir)), MINUTE)
+
+
 # --- streams run to completion over the stored tables -----------------------------
 
 
@@ -321,6 +350,15 @@ def q_stream_unlimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_unlimited(pin_zone(spark), f"{sf_dir}/documents.parquet", SCORER, MINUTE)
 
 
+def q_stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both branches of the stream have published, compared as stored."""
+    results = replay_published(
+        pin_zone(spark), f"{sf_dir}/documents.parquet", SCORER, offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT),
+        EnrichSettings(model=MODEL, wait_ms=0), MINUTE,
+    )
+    return compare_windows(read_results(results), MINUTE)
+
+
 def q_stream_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_comparison(result_feed(spark, sf_dir), MINUTE)
 
@@ -503,6 +541,16 @@ _COMPARED = """
   JOIN (SELECT * FROM latest WHERE kind = 'narrative') n USING (win_start, win_end)"""
 
 
+_ENRICHED = f"""
+  SELECT win_start, win_end, window_key, overall_sentiment AS classifier_sentiment,
+         coalesce(most_positive, 'N/A') AS classifier_positive,
+         coalesce(nullif(most_negative, ''), 'N/A') AS classifier_negative,
+         message_count AS classifier_count, average_score, 'neutral' AS narrative_sentiment,
+         'N/A' AS narrative_positive, 'N/A' AS narrative_negative, message_count AS narrative_count,
+         message_count || ' messages were read.' AS descriptive_paragraph
+  FROM named WHERE {_MINUTE} % {EVERY} NOT IN ({DOWN_AT}, {UNUSABLE_AT})"""
+
+
 def oracle_sql() -> dict[str, str]:
     jobs, _ = _text_jobs()
     return _own_sql() | (jobs.oracle_sql() if jobs else {})
@@ -580,4 +628,9 @@ def _own_sql() -> dict[str, str]:
         "stream_unlimited": f"""WITH {_DOCS}, {_windowed('1 minute')}, {_scored('windowed')}, {_summed()}
             SELECT * FROM summary""",
         "stream_compare": f"{_RESULTS} {_COMPARED}",
+        "compare_topics": f"{_RESULTS} {_COMPARED}",
+        "compare_enriched": f"{_RESULTS} {_ENRICHED}",
+        "stream_published": f"{_RESULTS} {_ENRICHED}",
+        "unmatched_enriched": f"""{_RESULTS} SELECT win_start, win_end, 'narrative' AS missing FROM named
+            WHERE {_MINUTE} % {EVERY} IN ({DOWN_AT}, {UNUSABLE_AT})""",
     }

@@ -72,12 +72,14 @@ class EnrichSettings:
     api_key: str = field(default="", repr=False)
     attempts: int = DEFAULT_ATTEMPTS
     wait_ms: int = DEFAULT_WAIT_MS
+    #: Calls that one task has under way at a time.
+    calls: int = 4
 
     def __post_init__(self) -> None:
         if not self.model:
             raise SettingsError("a model name must be set")
-        if self.attempts < 1:
-            raise SettingsError("attempts must be at least 1")
+        if self.attempts < 1 or self.calls < 1:
+            raise SettingsError("attempts and calls must be at least 1")
         if self.wait_ms < 0:
             raise SettingsError("wait_ms must not be negative")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,7 +19,7 @@ from chatpulse.operators.windows import order_key
 
 #: Sends one request body and returns the reply body; raises ``OSError`` on any failure.
 Client = Callable[[str], str]
-#: Called once per task, so that connections live where they are used.
+#: Called once for each thread of a task that sends requests, so that connections live where they are used.
 ClientFactory = Callable[[], Client]
 
 # The instructions the model gets.
@@ -119,11 +121,12 @@ def enrich(
 ) -> DataFrame:
     """Call the model once per window: ``response, attempts, error``.
 
-    ``parallelism`` fixes how many tasks call at the same time; without it the current
-    partitioning decides. Every evaluation calls again, so write the result to a table
-    before reading it more than once (the streaming job does).
+    ``parallelism`` fixes how many tasks call at the same time; without it the requests are
+    spread over as many tasks as the cluster runs at once, whatever their partitioning
+    was. A task has up to ``settings.calls`` calls under way. Every evaluation calls again, so
+    write the result to a table before reading it more than once (the streaming job does).
     """
-    attempts, wait_ms = settings.attempts, settings.wait_ms
+    attempts, wait_ms, calls = settings.attempts, settings.wait_ms, settings.calls
     group = plan.group
     schema = T.StructType(
         [requests.schema[name] for name in group]
@@ -135,14 +138,21 @@ def enrich(
     )
 
     def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = client_factory()
-        for batch in batches:
-            replies = [call_with_retries(client, r, attempts, wait_ms) for r in batch["request"]]
-            answered = pd.DataFrame(replies, columns=["response", "attempts", "error"], index=batch.index)
-            yield pd.concat([batch[group], answered], axis=1)
-
-    spread = requests.repartition(parallelism, *group) if parallelism else requests
-    return spread.mapInPandas(call_all, schema)
+        own = threading.local()
+
+        def ask(request: str) -> tuple[str | None, int, str | None]:
+            if not hasattr(own, "client"):
+                own.client = client_factory()
+            return call_with_retries(own.client, request, attempts, wait_ms)
+
+        with ThreadPoolExecutor(calls) as pool:
+            for batch in batches:
+                replies = list(pool.map(ask, batch["request"]))
+                answered = pd.DataFrame(replies, columns=["response", "attempts", "error"], index=batch.index)
+                yield pd.concat([batch[group], answered], axis=1)
+
+    tasks = parallelism or requests.sparkSession.sparkContext.defaultParallelism
+    return requests.repartition(tasks, *group).mapInPandas(call_all, schema)
 
 
 def answered(enriched: DataFrame) -> DataFrame:

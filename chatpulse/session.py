@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Every timestamp in this package is an instant; only formatting uses another zone.
 SESSION_ZONE = "UTC"
@@ -69,3 +70,20 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
+
+
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def store_once(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back, for frames that are used more than once."""
+    path = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds a write that has come to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)

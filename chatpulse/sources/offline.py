@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 
 def offline_client_factory(every: int = 5, down_at: int = 2, unusable_at: int = 4) -> Callable[[], Callable[[str], str]]:
-    """Clients that repeat a prompt's start and message count.
+    """Clients that repeat a prompt's bounds and message count in a whole, neutral reply.
 
     Of every ``every`` one-minute windows, the model is down for the one at ``down_at`` (it raises, on each
     attempt) and answers the one at ``unusable_at`` without JSON, whatever their size.
@@ -23,7 +23,16 @@ def offline_client_factory(every: int = 5, down_at: int = 2, unusable_at: int =
             turn = int(dt.datetime.strptime(start, "%d/%m/%Y %H:%M:%S").replace(tzinfo=dt.UTC).timestamp()) // 60 % every
             if turn == down_at:
                 raise OSError("model unavailable")
-            content = json.dumps({"start": start, "messageCount": int(count)})
+            fields = {
+                "start": start,
+                "end": re.search(r"^Window End: (.*)$", prompt, re.M).group(1),
+                "overallSentiment": "neutral",
+                "mostPositiveMessage": "N/A",
+                "mostNegativeMessage": "",
+                "messageCount": int(count),
+                "descriptiveParagraph": f"{count} messages were read.",
+            }
+            content = json.dumps(fields)
             if turn == unusable_at:
                 content = "I can't say."
             return json.dumps({"choices": [{"message": {"role": "assistant", "content": content}}]})

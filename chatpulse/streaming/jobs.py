@@ -15,14 +15,16 @@ from chatpulse.operators.comparison import (
     CLASSIFIER,
     NARRATIVE,
     RESULT_COLUMNS,
+    Order,
     comparison_columns,
+    order_of,
     read_results,
 )
 from chatpulse.operators.enrichment import ClientFactory, answered, extract_content, failed, unusable_replies
 from chatpulse.operators.results import result_json
 from chatpulse.operators.windows import keep_newest
 from chatpulse.plans.branches import narrative_branch, summarise_kept, unlimited_summary
-from chatpulse.session import stream_settings
+from chatpulse.session import is_written, stream_settings
 from chatpulse.sources.writers import BatchSink, table_sink
 from chatpulse.streaming.newest import EVENT_TIME, PROCESSING_TIME, closed_windows
 
@@ -70,7 +72,9 @@ def window_handler(
 
     The closed rows are written down first and both branches read that table: they see the
     same messages, and losing an executor repeats neither the stateful step nor a branch
-    that is done. Replies of the model are written down before use for the same reason.
+    that is done. Replies of the model are written down before use for the same reason: a
+    micro-batch that runs again takes those it has and calls the model only if it has none.
+    Results carry their micro-batch as ``seq``.
     """
     scorer = check_scorer(scorer)
     settled = plan.with_(shards=1)
@@ -86,19 +90,22 @@ def window_handler(
             closed.unpersist()
         stored = spark.read.schema(closed.schema).parquet(f"{work_dir}/closed/batch_id={batch_id}")
         kept = keep_newest(stored, settled)
+        seq = F.lit(batch_id).cast("bigint")
         if results or summaries:
             summary = summarise_kept(kept, scorer, plan)
             if summaries:
                 summaries(summary, batch_id)
             if results:
-                results(result_json(summary, plan), batch_id)
+                results(result_json(summary, plan).withColumn("seq", seq), batch_id)
         if narrative:
             called = narrative_branch(
                 kept, narrative.client_factory, narrative.settings, plan, narrative.parallelism
             )
-            table_sink(f"{work_dir}/replies")(called, batch_id)
-            replies = spark.read.schema(called.schema).parquet(f"{work_dir}/replies/batch_id={batch_id}")
-            narrative.sink(extract_content(answered(replies)), batch_id)
+            path = f"{work_dir}/replies/batch_id={batch_id}"
+            if not is_written(spark, path):
+                table_sink(f"{work_dir}/replies")(called, batch_id)
+            replies = spark.read.schema(called.schema).parquet(path)
+            narrative.sink(extract_content(answered(replies)).withColumn("seq", seq), batch_id)
             if narrative.failures:
                 unusable = unusable_replies(answered(replies)).withColumn("error", F.lit("unusable reply"))
                 lost = failed(replies).unionByName(unusable.drop("response"))
@@ -152,20 +159,24 @@ def start_unlimited(
 
 
 def compared_stream(
-    classifier_feed: DataFrame, narrative_feed: DataFrame, plan: WindowPlan = WindowPlan(), delay: str = "10 minutes"
+    classifier_feed: DataFrame,
+    narrative_feed: DataFrame,
+    plan: WindowPlan = WindowPlan(),
+    delay: str = "10 minutes",
+    seq: Order = "seq",
 ) -> DataFrame:
-    """Join the two result streams per window.
+    """Join the two result streams per window; ``seq`` names the columns that order repeated results.
 
     A result waits for its partner at most until the other side is ``delay`` further on.
     Each combination of repeated results is sent; ``newest_pairs`` keeps the last.
     """
 
-    def side(feed: DataFrame, kind: str, seq: str) -> DataFrame:
+    def side(feed: DataFrame, kind: str, name: str) -> DataFrame:
         return (
             read_results(feed)
             .where(F.col("kind") == kind)
             .withWatermark("win_start", delay)
-            .select(*plan.group, F.struct(*RESULT_COLUMNS).alias(kind), F.col("seq").alias(seq))
+            .select(*plan.group, F.struct(*RESULT_COLUMNS).alias(kind), order_of(seq).alias(name))
         )
 
     pairs = side(classifier_feed, CLASSIFIER, "classifier_seq").join(
@@ -191,8 +202,9 @@ def start_comparison(
     trigger: str | None = "10 seconds",
     name: str = "chat-comparison",
     partitions: int | None = None,
+    seq: Order = "seq",
 ) -> StreamingQuery:
-    pairs = compared_stream(classifier_feed, narrative_feed, plan, delay)
+    pairs = compared_stream(classifier_feed, narrative_feed, plan, delay, seq)
     return _start(pairs, sink, name, work_dir, trigger, partitions)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +65,37 @@ class NewestRows(StatefulProcessor):
         pass
 
 
+#: Rows a task holds back while it trims; it passes them on beyond that.
+HELD_ROWS = 200_000
+
+
+def trim_tasks(rows: DataFrame, group: list[str], order: list[str], limit: int) -> DataFrame:
+    """At most the newest ``limit`` rows of each group from each task, before anything is shuffled.
+
+    A task with very many groups passes on what it holds now and then; then it sends
+    more than that, never less.
+    """
+
+    def newest(held: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(held)
+        keys = table.select([*group, *order]).to_pandas(types_mapper=pd.ArrowDtype)
+        best = keys.sort_values(order, ascending=False, kind="stable").groupby(group, dropna=False, sort=False).head(limit)
+        return table.take(pa.array(best.index.to_numpy()))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = newest([table] if held is None else [held, table])
+            if held.num_rows >= HELD_ROWS:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+
+    return rows.mapInArrow(work, rows.schema)
+
+
 def closed_windows(
     messages: DataFrame, plan: WindowPlan = WindowPlan(), mode: str = EVENT_TIME, delay: str = "0 seconds"
 ) -> DataFrame:
@@ -71,7 +103,8 @@ def closed_windows(
 
     Up to ``limit * state_shards`` rows of a window come out, all in the same micro-batch;
     ``keep_newest`` over them gives the window's final rows. Columns: the group columns,
-    the order columns and ``message``.
+    the order columns and ``message``. Each task trims its part of a window to ``limit`` rows before
+    the shuffle.
 
     ``EventTime`` ends a window when a later one has been seen (plus ``delay``): the
     watermark runs on window starts, so rows out of order inside an open window stay.
@@ -80,12 +113,6 @@ def closed_windows(
     """
     pin_zone(messages.sparkSession)
     windowed = assign_windows(messages, plan)
-    early_ms = 0
-    if mode == EVENT_TIME:
-        # Rows AT the watermark count as late. Held back by a millisecond it stays below the
-        # start of the newest window; timers are early by as much, so windows end on time.
-        early_ms = 1
-        windowed = windowed.withWatermark("win_start", f"{delay} {early_ms} millisecond")
     types = {f.name: f.dataType for f in messages.schema.fields}
     instants = [name for name in plan.order if isinstance(types[name], T.TimestampType)]
 
@@ -111,6 +138,13 @@ def closed_windows(
         *[as_long(name) for name in plan.order],
         "message",
     )
+    rows = trim_tasks(rows, [*plan.keys, "_start_us"], list(plan.order), plan.limit)
+    early_ms = 0
+    if mode == EVENT_TIME:
+        # Rows AT the watermark count as late. Held back by a millisecond it stays below the
+        # start of the newest window; timers are early by as much, so windows end on time.
+        early_ms = 1
+        rows = rows.withWatermark("win_start", f"{delay} {early_ms} millisecond")
     closed = rows.groupBy(*plan.keys, *_BOUNDS, "_shard").transformWithStateInPandas(
         statefulProcessor=NewestRows(plan, state, early_ms),
         outputStructType=output,

@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatpulse.config import WindowPlan
+from chatpulse.config import EnrichSettings, WindowPlan
 from chatpulse.functions.sentiment import Scorer
-from chatpulse.session import checkpoint_root
+from chatpulse.operators.enrichment import ClientFactory
+from chatpulse.session import fresh_folder
 from chatpulse.sources.readers import line_table, result_table
 from chatpulse.sources.tables import document_messages
 from chatpulse.sources.writers import table_sink
-from chatpulse.streaming.jobs import newest_pairs, start_comparison, start_unlimited, start_windows
-
-
-def fresh_folder(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+from chatpulse.streaming.jobs import NarrativeStep, newest_pairs, start_comparison, start_unlimited, start_windows
 
 
 def _partitions(spark: SparkSession) -> int:
@@ -57,6 +52,27 @@ def replay_summary(
     return spark.read.parquet(out).drop("batch_id")
 
 
+def replay_published(
+    spark: SparkSession,
+    path: str,
+    scorer: Scorer,
+    client_factory: ClientFactory,
+    settings: EnrichSettings,
+    plan: WindowPlan = WindowPlan(),
+) -> DataFrame:
+    """Everything both branches publish for a documents table, as stored by the stream."""
+    folder = fresh_folder(spark, "replay-published")
+    sink = table_sink(f"{folder}/results")
+    narratives = table_sink(f"{folder}/narratives")
+    messages = _document_stream(spark, path, plan, folder)
+    query = start_windows(
+        messages, scorer, folder, plan, results=sink, narrative=NarrativeStep(client_factory, settings, narratives),
+        trigger=None, partitions=_partitions(spark),
+    )
+    query.awaitTermination()
+    return result_table(spark, f"{folder}/results").unionByName(result_table(spark, f"{folder}/narratives"))
+
+
 def replay_unlimited(
     spark: SparkSession, path: str, scorer: Scorer, plan: WindowPlan = WindowPlan()
 ) -> DataFrame:

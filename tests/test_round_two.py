@@ -53,7 +53,7 @@ def test_outages_follow_the_window_not_its_size():
     call = offline_client_factory()()
 
     def ask(minute, size=1):
-        prompt = f"Window Start: 01/01/2024 00:{minute:02d}:00\nMessages Processed: 3\n" + "x" * size
+        prompt = f"Window Start: 01/01/2024 00:{minute:02d}:00\nWindow End: x\nMessages Processed: 3\n" + "x" * size
         return json.loads(call(json.dumps({"messages": [{}, {"content": prompt}]})))["choices"][0]["message"]["content"]
 
     assert json.loads(ask(0, 1_000_000))["messageCount"] == 3 and not ask(4).startswith("{")
