@@ -152,7 +152,9 @@ def enrich(
                 yield pd.concat([batch[group], answered], axis=1)
 
     tasks = parallelism or requests.sparkSession.sparkContext.defaultParallelism
-    return requests.repartition(tasks, *group).mapInPandas(call_all, schema)
+    # By a hash of its own: one by the group columns would be merged with the grouping's shuffle, which
+    # adaptive execution may shrink to one task.
+    return requests.repartition(tasks, F.xxhash64(*group)).mapInPandas(call_all, schema)
 
 
 def answered(enriched: DataFrame) -> DataFrame:

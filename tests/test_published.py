@@ -1,0 +1,170 @@
+"""Stored and topic-shaped results compared; model calls and the trim before a stream's shuffle."""
+
+import datetime as dt
+import json
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from chatpulse.config import EnrichSettings, WindowPlan
+from chatpulse.functions.clock import london_instant, london_text
+from chatpulse.functions.sentiment import ENGLISH_LEXICON, lexicon_scorer
+from chatpulse.operators.comparison import (
+    compare_windows,
+    latest_per_window,
+    read_results,
+    unmatched_windows,
+    unplaced_results,
+)
+from chatpulse.operators.enrichment import enrich, window_prompts, window_requests
+from chatpulse.plans.branches import kept_messages
+from chatpulse.sources.offline import offline_client_factory
+from chatpulse.sources.readers import KAFKA_ORDER, line_table, result_table
+from chatpulse.sources.writers import table_sink
+from chatpulse.streaming.jobs import (
+    NarrativeStep,
+    newest_pairs,
+    start_comparison,
+    start_windows,
+    window_handler,
+)
+from chatpulse.streaming.newest import trim_tasks
+from tests.helpers import at, messages, plan_text
+
+ENGLISH = lexicon_scorer(ENGLISH_LEXICON)
+SETTINGS = EnrichSettings(model="m", wait_ms=0)
+
+
+def published(start, kind, count, minutes=1):
+    first = dt.datetime(2024, 7, 1) + dt.timedelta(minutes=start)
+    text = [(first + dt.timedelta(hours=1, minutes=m)).strftime("%d/%m/%Y %H:%M:%S") for m in (0, minutes)]
+    own = {"averageScore": 2.5} if kind == "classifier" else {"descriptiveParagraph": "d"}
+    return json.dumps({"start": text[0], "end": text[1], "overallSentiment": "x", "messageCount": count} | own)
+
+
+def test_rows_of_topics_are_compared_by_their_printed_bounds(spark):
+    rows = [
+        (published(0, "classifier", 1), at(9), 0, 4), (published(0, "classifier", 2), at(9), 1, 0),
+        (published(0, "narrative", 3), at(5), 0, 7), (published(0, "narrative", 4), at(5), 0, 6),
+        (published(1, "narrative", 5), at(5), 0, 8), ('{"averageScore":1,"start":"soon","end":"later"}', at(1), 0, 1),
+    ]
+    results = read_results(spark.createDataFrame(rows, "value string, arrival timestamp, partition int, offset long"))
+    pair, = compare_windows(results, seq=KAFKA_ORDER).collect()
+    assert (pair.win_start, pair.classifier_count, pair.narrative_count) == (dt.datetime(2024, 7, 1), 2, 3)
+    assert [(r.win_start.minute, r.missing) for r in unmatched_windows(results, seq=KAFKA_ORDER).collect()] == [(1, "classifier")]
+    latest = {(r.kind, r.win_start.minute): (r.partition, r.offset) for r in latest_per_window(results, seq=KAFKA_ORDER).collect()}
+    assert latest == {("classifier", 0): (1, 0), ("narrative", 0): (0, 7), ("narrative", 1): (0, 8)}
+    assert unplaced_results(results).count() == 1
+
+
+def test_printed_bounds_are_read_back(spark):
+    hours = [(dt.datetime(2024, 1, 31, 14, 18),), (dt.datetime(2024, 7, 31, 14, 18),), (dt.datetime(2024, 10, 27, 0, 30),), (dt.datetime(2024, 10, 27, 1, 30),)]
+    frame = spark.createDataFrame(hours, "at timestamp").select("at", london_instant(london_text("at")).alias("back"))
+    found = {r["at"]: r["back"] for r in frame.collect()}
+    # The last one is printed like the hour before.
+    assert found == {h: h for h, in hours[:3]} | {hours[3][0]: hours[2][0]}
+    assert spark.range(1).select(london_instant(F.lit("noon"))).first()[0] is None
+
+
+def stream_of(spark, path):
+    return line_table(spark, path, spark.read.parquet(path).schema, streaming=True)
+
+
+def test_what_a_stream_publishes_can_be_compared(spark, tmp_path):
+    source, work = str(tmp_path / "in"), str(tmp_path / "work")
+    messages(spark, [(i * 10, f"good {i}") for i in range(60)]).coalesce(1).write.parquet(source)
+    step = NarrativeStep(offline_client_factory(), SETTINGS, table_sink(f"{work}/narratives"))
+    query = start_windows(
+        stream_of(spark, source), ENGLISH, work, results=table_sink(f"{work}/results"), narrative=step, trigger=None
+    )
+    query.awaitTermination()
+    assert query.exception() is None
+    sides = [result_table(spark, f"{work}/{name}") for name in ("results", "narratives")]
+    assert all(side.where("seq IS NULL").isEmpty() for side in sides)
+    results = read_results(sides[0].unionByName(sides[1]))
+    pairs = compare_windows(results)
+    assert [(r.classifier_count, r.narrative_count) for r in pairs.collect()] == [(6, 6)] * pairs.count()
+    # Nine windows have ended; the model is down in one of five and unusable in another.
+    assert pairs.count() + unmatched_windows(results).count() == 9 and unmatched_windows(results).count() in (3, 4)
+    streams = [result_table(spark, f"{work}/{name}", streaming=True) for name in ("results", "narratives")]
+    query = start_comparison(*streams, f"{work}/pairs-job", table_sink(f"{work}/pairs"), trigger=None)
+    query.awaitTermination()
+    both = newest_pairs(spark.read.parquet(f"{work}/pairs"))
+    assert sorted(both.select(*pairs.columns).collect()) == sorted(pairs.collect())
+
+
+def test_a_repeated_batch_does_not_call_the_model_again(spark, tmp_path):
+    work, log = str(tmp_path / "work"), tmp_path / "calls"
+    log.mkdir()
+    folder = str(log)
+
+    def factory():
+        def call(request):
+            import os
+            import tempfile
+
+            os.close(tempfile.mkstemp(dir=folder)[0])
+            return '{"choices":[{"message":{"content":"fine"}}]}'
+
+        return call
+
+    failures = [True]
+    stored = table_sink(f"{work}/narratives")
+
+    def sink(frame, batch_id):
+        if failures.pop() if failures else False:
+            raise RuntimeError("sink is down")
+        stored(frame, batch_id)
+
+    handle = window_handler(ENGLISH, WindowPlan(), work, narrative=NarrativeStep(factory, SETTINGS, sink))
+    closed = kept_messages(messages(spark, [(0, "good"), (60, "bad"), (120, "plain")]))
+    closed = closed.select("win_start", "win_end", "arrival", "seq", "message")
+    with pytest.raises(RuntimeError):
+        handle(closed, 7)
+    handle(closed, 7)
+    found = spark.read.parquet(f"{work}/narratives")
+    assert {(r.value, r.seq) for r in found.collect()} == {("fine", 7)} and found.count() == 3
+    assert len(list(log.iterdir())) == 3
+
+
+@pytest.mark.parametrize("calls", [1, 3])
+def test_calls_under_way_are_bounded(spark, calls):
+    def factory():
+        def call(request):
+            gate = threading.active_count
+            time.sleep(0.05)
+            return str(gate())
+
+        return call
+
+    requests = window_requests(window_prompts(kept_messages(messages(spark, [(60 * i, "x") for i in range(6)]))), "m")
+    settings = EnrichSettings(model="m", wait_ms=0, calls=calls)
+    replies = enrich(requests, factory, settings, parallelism=1).collect()
+    seen = max(int(r.response) for r in replies)
+    base = min(int(r.response) for r in replies)
+    assert len(replies) == 6 and seen - base <= calls
+
+
+def test_calls_are_spread_without_a_setting(spark):
+    requests = window_requests(window_prompts(kept_messages(messages(spark, [(0, "x")]))), "m")
+    plan = plan_text(enrich(requests, offline_client_factory(), SETTINGS))
+    assert f"{spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in plan
+
+
+def test_tasks_trim_windows_before_the_shuffle(spark):
+    rows = messages(spark, [(i % 7, f"m{i}") for i in range(5000)]).repartition(3)
+    rows = rows.select(F.when(F.col("seq") % 3 > 0, "hot").alias("k"), "seq", "message")
+    found = [(r.k, r.seq, r.message) for r in trim_tasks(rows, ["k"], ["seq"], 5).collect()]
+    assert len(found) <= 3 * 2 * 5 and all(m == f"m{s}" for _, s, m in found)
+    for key, wanted in ((None, [4986, 4989, 4992, 4995, 4998]), ("hot", [4994, 4996, 4997, 4999])):
+        assert set(wanted) <= {s for k, s, _ in found if k == key}
+    assert trim_tasks(rows.where("false"), ["k"], ["seq"], 5).count() == 0
+
+
+def test_comparison_scores_the_messages_once(spark):
+    import __spark_entry__ as entry
+
+    plan = plan_text(entry.q_compare_windows(spark, "/root/testdata/sf0.001"))
+    assert "documents.parquet" not in plan and plan.count("Scan parquet") <= 2
