@@ -22,7 +22,12 @@ SLACK = 1e-6
 def _unit(blob: bytes) -> np.ndarray:
     """The unit vector in doubles. A blob's first byte is the width of its numbers."""
     v = np.frombuffer(blob, f"<f{blob[0]}", offset=1).astype("<f8")
-    return v / math.sqrt(float(v @ v))
+    with np.errstate(over="ignore"):
+        norm = float(v @ v)
+    if not 1e-200 < norm < math.inf:  # very large or small numbers, whose squares don't fit
+        v = v / np.abs(v).max()
+        norm = float(v @ v)
+    return v / math.sqrt(norm)
 
 
 def usable_vectors(frame: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -38,9 +43,7 @@ def usable_vectors(frame: DataFrame, id_column: str, vector_column: str) -> Data
                 v = None
                 if values and None not in values:
                     v = np.array(values, "<f8")
-                    with np.errstate(all="ignore"):
-                        norm = v @ v
-                    if not np.isfinite(v).all() or not 0 < norm < np.inf:
+                    if not np.isfinite(v).all() or not v.any():
                         v = None
                 blobs.append(None if v is None else mark + v.astype(f"<f{bits}").tobytes())
             widths = [None if b is None else (len(b) - 1) // bits for b in blobs]

@@ -146,6 +146,13 @@ def test_vector_links(spark):
     assert ego_join.embedding_links(frame.where("false")).count() == 0 and ego_join.embedding_links(frame.where("vec_id = 148")).count() == 1
 
 
+def test_vectors_whose_squares_do_not_fit_are_linked(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [5e-324, 0.0]), (4, [1.0, 0.0]), (5, [0.0, 0.0]), (6, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ego_join.embedding_links(frame).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 6: (2, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
+
+
 def naive_span(item, words):
     best = None
     for a in range(len(words) + 1):
