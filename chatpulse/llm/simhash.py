@@ -129,6 +129,13 @@ def simhash_components(
     )
 
 
+def first_of_each(numbered: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows with the smallest doc_id of each component in ``found`` (_row, component_id); null ids come last."""
+    ids = numbered.select("_row", F.col("doc_id").isNull().alias("none"), "doc_id")
+    first = found.join(ids, "_row").groupBy("component_id").agg(F.min(F.struct("none", "doc_id", "_row")).alias("first"))
+    return numbered.join(first.select("first._row"), "_row", "left_semi").drop("_row")
+
+
 def keep_one_each(docs: DataFrame, **settings) -> DataFrame:
     """One document of each component, with all its columns: that with the smallest doc_id.
 
@@ -137,6 +144,4 @@ def keep_one_each(docs: DataFrame, **settings) -> DataFrame:
     """
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     found = simhash_components(numbered, id_column="_row", **settings).select(F.col("doc_id").alias("_row"), "component_id")
-    ids = numbered.select("_row", F.col("doc_id").isNull().alias("none"), "doc_id")
-    first = found.join(ids, "_row").groupBy("component_id").agg(F.min(F.struct("none", "doc_id", "_row")).alias("first"))
-    return numbered.join(first.select("first._row"), "_row", "left_semi").drop("_row")
+    return first_of_each(numbered, found)
