@@ -62,36 +62,29 @@ def in_set(held: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
     return held[(values & np.uint64((1 << bits) - 1)).astype(np.int64)]
 
 
-class WalkHashes:
-    """LSH keys of word windows by CGK random walks with bit sampling.
+def run_codes(codes: np.ndarray, size: int, length: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words, for the class of items up to ``length`` words."""
+    n = max(len(codes) - size + 1, 0)
+    out = np.full(n, length, np.uint64)
+    for k in range(size):
+        out = mixed(out * MIX2 + codes[k : k + n])
+    return out
+
 
-    Walk r reads a window w of n words and writes up to 3n: in step t it writes w[i] and moves on
-    if a hash bit of (r, t, w[i]) is 1, so it is about half way through w after n steps. Equal stretches keep two walks in step, and an edit throws
-    them out of step for a while only, so a small edit distance gives a small Hamming distance.
-    A key joins the words that a walk writes in ``samples`` random steps of the first 2n.
+def seed_size(low: int, high: int, similarity: float) -> int:
+    """Words of a seed of items of ``low`` to ``high`` words.
+
+    An item of n words falls into d + 1 pieces of n // (d + 1) words or more, d being the edits
+    allowed. d edits touch at most d pieces, so a find holds one of them whole.
     """
+    return min(n // (edits_allowed(n, similarity) + 1) for n in range(low, high + 1))
+
 
-    def __init__(self, length: int, repeats: int, samples: int, seed: int = 7):
-        random = np.random.default_rng([seed, length])
-        self.length, self.repeats = length, repeats
-        picked = random.integers(0, 2 * length, (repeats, samples))
-        self.steps = np.zeros((repeats, picked.max() + 1), bool)  # walks are followed as far as they are sampled
-        np.put_along_axis(self.steps, picked, True, axis=1)
-        self.salts = random.integers(1, 1 << 62, (repeats, picked.max() + 1), dtype=np.uint64) | np.uint64(1)
-
-    def keys(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """(windows, repeats) keys of the windows at ``starts``; past the end a blank word is read."""
-        padded = np.concatenate([codes, np.zeros(2, np.uint64)])
-        ends = np.minimum(starts + self.length, len(codes))[:, None]
-        at = np.repeat(starts[:, None], self.repeats, axis=1)
-        key = np.broadcast_to(np.arange(1, self.repeats + 1, dtype=np.uint64) * MIX + np.uint64(self.length), at.shape).copy()
-        for t in range(self.steps.shape[1]):
-            word = np.where(at < ends, padded[np.minimum(at, len(codes))], np.uint64(0))
-            take = self.steps[:, t]
-            if take.any():
-                key[:, take] = mixed(key[:, take] + word[:, take] * MIX2 + np.uint64(t))
-            at += (((word + np.uint64(1)) * self.salts[:, t] >> np.uint64(37)) & np.uint64(1)).astype(np.int64)
-        return key
+def seeds(codes: np.ndarray, size: int, length: int, similarity: float) -> np.ndarray:
+    """Hashes of the first ``size`` words of each piece of an item."""
+    pieces = edits_allowed(len(codes), similarity) + 1
+    starts = np.arange(pieces) * len(codes) // pieces
+    return run_codes(codes, size, length)[starts]
 
 
 def length_classes(longest: int, shortest: int) -> list[tuple[int, int]]:
@@ -132,11 +125,10 @@ def best_span(item: list, words: list) -> tuple[int, int, int]:
     return int(cost[end]), int(begin[end]), end
 
 
-def _items(benchmark: DataFrame, repeats: int, samples: int, similarity: float, shortest: int) -> DataFrame:
+def _items(benchmark: DataFrame, similarity: float, shortest: int) -> DataFrame:
     """(item_id, words, n, keys, bigrams) of the items long enough to be searched."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walks: dict[int, WalkHashes] = {}
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -144,10 +136,8 @@ def _items(benchmark: DataFrame, repeats: int, samples: int, similarity: float,
                 if len(words) < shortest:
                     continue
                 codes = word_codes(words)
-                high = next(h for low, h in length_classes(len(words), shortest) if low <= len(words) <= h)
-                if high not in walks:
-                    walks[high] = WalkHashes(high, repeats, samples)
-                keys, pairs = walks[high].keys(codes, np.zeros(1, np.int64))[0], bigram_codes(codes)
+                low, high = next(c for c in length_classes(len(words), shortest) if c[0] <= len(words) <= c[1])
+                keys, pairs = seeds(codes, seed_size(low, high, similarity), high, similarity), bigram_codes(codes)
                 rows.append((item, b" ".join(words), len(words), keys.view(np.int64).tolist(), np.concatenate([pairs, class_codes(pairs, high)]).view(np.int64).tolist()))
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             columns = list(zip(*rows)) if rows else [[]] * 5
@@ -168,27 +158,26 @@ def _bits_of(frame: DataFrame, column: str, bits: int) -> bytes:
 
 
 def candidate_regions(
-    docs: DataFrame, classes: list, bigrams: bytes, keys: bytes, bits: int, repeats: int, samples: int, similarity: float
+    docs: DataFrame, classes: list, bigrams: bytes, keys: bytes, bits: int, similarity: float
 ) -> DataFrame:
-    """(region, doc_id, first, words, keys): stretches of documents some of whose windows share a key with an item.
+    """(region, doc_id, first, words, keys): stretches of documents that share a seed with an item.
 
     A run of words within d edits of an item of n words keeps at least n - 1 - 2d of its
-    bigrams. Windows with fewer benchmark bigrams than that hold no find and are not embedded;
-    this loses nothing. (Bigrams are counted for each class of item lengths on its own.) All others,
-    at every start, get their walk keys, and the keys that are in the items' fixed-size set go on.
+    bigrams. Windows with fewer benchmark bigrams than that hold no find and are left out;
+    this loses nothing. (Bigrams are counted for each class of item lengths on its own.) Of all others,
+    at every start, the hashes of seed size that are in the items' fixed-size set go on.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((bigrams, keys))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair_set, key_set = (np.unpackbits(np.frombuffer(b, np.uint8)).view(bool) for b in shared.value)
-        walks: dict[int, WalkHashes] = {}
         number = TaskContext.get().partitionId() << 40
         limits = []
         for low, high in classes:
             need = min(max(0, n - 1 - 2 * edits_allowed(n, similarity)) for n in range(low, high + 1))
-            limits.append((high, high + edits_allowed(high, similarity), need))
-        least = min(need for _, _, need in limits)
+            limits.append((high, high + edits_allowed(high, similarity), need, seed_size(low, high, similarity)))
+        least = min(need for _, _, need, _ in limits)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -198,26 +187,28 @@ def candidate_regions(
                 known = np.flatnonzero(in_set(pair_set, pairs, bits))
                 if len(known) < least or not words:
                     continue
-                for high, reach, need in limits:
+                for high, reach, need, size in limits:
                     own_pairs = known[in_set(pair_set, class_codes(pairs[known], high), bits)]
                     if len(own_pairs) < need:
                         continue
-                    total = np.zeros(len(words) + 1, np.int64)
-                    total[own_pairs + 1] = 1
-                    total = np.cumsum(total)
-                    last = np.minimum(np.arange(len(words)) + reach - 1, len(words) - 1)
-                    starts = np.flatnonzero(total[last] - total[: len(words)] >= need)
+                    runs = run_codes(codes, size, high)
+                    if edits_allowed(high, similarity):
+                        total = np.zeros(len(words) + 1, np.int64)
+                        total[own_pairs + 1] = 1
+                        total = np.cumsum(total)
+                        last = np.minimum(np.arange(len(words)) + reach - 1, len(words) - 1)
+                        starts = np.flatnonzero(total[last] - total[: len(words)] >= need)
+                    else:  # without edits a find starts with its seed
+                        starts = np.flatnonzero(in_set(key_set, runs, bits))
                     if not len(starts):
                         continue
-                    if high not in walks:
-                        walks[high] = WalkHashes(high, repeats, samples)
                     for part in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                         for cut in range(0, len(part), 4 * reach):  # a long stretch gives overlapping regions
                             own = part[cut : cut + 4 * reach]
-                            found = np.unique(walks[high].keys(codes, own))
-                            found = found[in_set(key_set, found, bits)]
+                            first, end = int(own[0]), int(own[-1]) + reach
+                            found = runs[first : max(end - size + 1, 0)]
+                            found = np.unique(found[in_set(key_set, found, bits)])
                             if len(found):
-                                first, end = int(own[0]), int(own[-1]) + reach
                                 number += 1
                                 rows.append((number, doc, first, b" ".join(words[first:end]), found.view(np.int64).tolist()))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
@@ -253,8 +244,6 @@ def find_benchmark(
     docs: DataFrame,
     benchmark: DataFrame,
     similarity: float = 0.8,
-    repeats: int = 24,
-    samples: int = 3,
     shortest: int = 5,
     bits: int = 24,
     id_column: str = "doc_id",
@@ -263,16 +252,15 @@ def find_benchmark(
     """Contaminated documents: doc_id, item_id, first_word, words, edits, item_words.
 
     One row per document and item, for the place with the fewest edits (the earliest on
-    ties). Candidates come from LSH keys of item-sized windows at every word of every document; what
-    shares a key with an item is joined to it and aligned exactly, so all reported rows
-    are right. With 24 repeats of 3 samples, recall at the full distance was above 0.97 in tests, and 1
-    for copies without edits. Only two bit sets of 2**bits bits are broadcast, whatever the sizes.
+    ties). Every find holds a piece of its item unchanged; what
+    shares such a seed with an item is joined to it and aligned exactly, so all reported rows
+    are right and none is missing, whatever the length. Only two bit sets of 2**bits bits are broadcast, whatever the sizes.
 
     Items of fewer than ``shortest`` words are not searched. Null texts are empty; null ids keep their
     finds (null on either side); rows repeated under one id give one row; an empty
     table on either side gives none. Other columns are ignored.
     """
-    items = write_once(_items(benchmark, repeats, samples, similarity, shortest), "benchmark-items")
+    items = write_once(_items(benchmark, similarity, shortest), "benchmark-items")
     longest = items.agg(F.max("n")).first()[0]
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_bytes(text_column).alias("text"))
     lengths = {row["n"] for row in items.select("n").distinct().collect()}
@@ -280,7 +268,7 @@ def find_benchmark(
     if not classes:
         classes = [(shortest, shortest)]
     regions = candidate_regions(
-        narrow, classes, _bits_of(items, "bigrams", bits), _bits_of(items, "keys", bits), bits, repeats, samples, similarity
+        narrow, classes, _bits_of(items, "bigrams", bits), _bits_of(items, "keys", bits), bits, similarity
     )
     regions = write_once(regions, "benchmark-regions")
     posted = items.select("item_id", F.col("words").alias("item_words"), F.explode("keys").alias("key")).distinct()
