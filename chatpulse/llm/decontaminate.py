@@ -1,12 +1,14 @@
 """Find benchmark items inside documents up to a bounded edit distance.
 
-Words are compared, not characters: A-Z lower-cased, ASCII punctuation taken as a blank. An item of n
+Words are compared, not characters: A-Z lower-cased, ASCII punctuation taken as a blank; in scripts
+written without blanks every character is a word. An item of n
 words is found if some run of a document's words has at most ``floor(n * (1 - similarity))``
 insertions, deletions and substitutions of whole words against it.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
@@ -32,6 +34,20 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.translate(PLAIN).split()
 
 
+#: Characters of scripts without blanks: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han and what is written among them.
+UNSPACED = re.compile(
+    "([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff00-\uff0f\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff])"
+)
+
+
+def cut_words(text: bytes) -> list[bytes]:
+    """Plain words, those in scripts without blanks cut into characters."""
+    if text.isascii():
+        return plain_words(text)
+    return plain_words(UNSPACED.sub(r" \1 ", text.decode("utf-8", "surrogateescape")).encode("utf-8", "surrogateescape"))
+
+
 def word_codes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.uint64, len(words))
 
@@ -132,7 +148,7 @@ def _items(benchmark: DataFrame, similarity: float, shortest: int) -> DataFrame:
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = plain_words(text)
+                words = cut_words(text)
                 if len(words) < shortest:
                     continue
                 codes = word_codes(words)
@@ -181,7 +197,7 @@ def candidate_regions(
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = plain_words(text.as_py())
+                words = cut_words(text.as_py())
                 codes = word_codes(words)
                 pairs = bigram_codes(codes)
                 known = np.flatnonzero(in_set(pair_set, pairs, bits))
@@ -244,7 +260,7 @@ def find_benchmark(
     docs: DataFrame,
     benchmark: DataFrame,
     similarity: float = 0.8,
-    shortest: int = 5,
+    shortest: int = 1,
     bits: int = 24,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -254,9 +270,10 @@ def find_benchmark(
     One row per document and item, for the place with the fewest edits (the earliest on
     ties). Every find holds a piece of its item unchanged; what
     shares such a seed with an item is joined to it and aligned exactly, so all reported rows
-    are right and none is missing, whatever the length. Only two bit sets of 2**bits bits are broadcast, whatever the sizes.
+    are right and none is missing, whatever the length. Items of under five words allow no edit
+    and are their own seeds. Only two bit sets of 2**bits bits are broadcast, whatever the sizes.
 
-    Items of fewer than ``shortest`` words are not searched. Null texts are empty; null ids keep their
+    Items of fewer than ``shortest`` words are not searched; by default that is those without words. Null texts are empty; null ids keep their
     finds (null on either side); rows repeated under one id give one row; an empty
     table on either side gives none. Other columns are ignored.
     """

@@ -32,3 +32,12 @@ def test_every_piece_is_a_seed():
             own = decontaminate.seeds(item, size, high, 0.8)
             item[random.choice(n, decontaminate.edits_allowed(n, 0.8), replace=False)] = 1 << 40
             assert np.isin(own, decontaminate.run_codes(item, size, high)).any()
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = ["What is 2+2?", "Photosynthesis", "red green blue", "two words", "", "光合作用是什么", "水", "สวัสดีครับ"]
+    docs = ["so: what IS 2, 2 then", "of photosynthesis.", "red green, blue red", "words two", "", "问题：光合作用是什麼？", "喝水", "a สวัสดีครับ b", "red green", None]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["first_word"], r["words"], r["edits"]) for r in decontaminate.find_benchmark(frame, bench).collect()}
+    assert found == {(0, 0): (1, 4, 0), (1, 1): (1, 1, 0), (2, 2): (0, 3, 0), (5, 5): (3, 6, 1), (6, 6): (1, 1, 0), (7, 7): (1, 10, 0)}
