@@ -78,11 +78,27 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int, longest:
     return write_once(found.dropDuplicates(["toxic", "n_words", "features"]), "toxicity-sample")
 
 
-def telling_features(rows: DataFrame, least_z: float, of_strongest: float, least_docs: int) -> dict[int, float]:
+def chance(t: np.ndarray, c: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Probability that a feature of t + c texts lies as unevenly in the n1 toxic and n0 other ones by chance.
+
+    Twice the smaller tail of the hypergeometric distribution, exact however rare the feature is.
+    """
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n1 + n0 + 1)))])
+    choose = lambda n, k: logs[n] - logs[k] - logs[n - k]
+    out = np.ones(len(t))
+    for i, (own, m) in enumerate(zip(t.tolist(), (t + c).tolist())):
+        low, high = max(0, m - n0), min(m, n1)
+        k = np.arange(own, high + 1) if own * (n1 + n0) >= m * n1 else np.arange(low, own + 1)
+        out[i] = min(1.0, 2 * np.exp(choose(n1, k) + choose(n0, m - k) - choose(n1 + n0, m)).sum())
+    return out
+
+
+def telling_features(rows: DataFrame, least_z: float, by_chance: float, least_docs: int) -> dict[int, float]:
     """Features whose share of toxic and of other documents differs clearly, with their log odds ratio.
 
-    Clearly: the two-proportion z is at least ``least_z`` and a share ``of_strongest`` of the largest
-    one, so that of many rare words few pass by chance.
+    Clearly: the two-proportion z is at least ``least_z``, and by the exact test less than ``by_chance``
+    such features are to be expected among all those tried. No feature sets a bar for
+    others, so the words of a frequent language don't hide those of a rare one.
     """
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -95,10 +111,11 @@ def telling_features(rows: DataFrame, least_z: float, of_strongest: float, least
     odds = F.log((t + 0.5) / (n1 + 0.5 - t)) - F.log((c + 0.5) / (n0 + 0.5 - c))
     p = (t + c) / (n1 + n0)
     z = F.abs(t / n1 - c / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n1 + 1 / n0))
-    kept = seen.where(t + c >= least_docs).select("f", odds.alias("odds"), z.alias("z")).where(F.col("z") >= least_z)
-    found = kept.collect()  # bounded by the sample's words
-    floor = of_strongest * max((r["z"] for r in found), default=0.0)
-    return {r["f"]: r["odds"] for r in found if r["z"] >= floor}
+    tried = write_once(seen.where(t + c >= least_docs).select("f", "t", "c", odds.alias("odds"), z.alias("z")), "toxicity-features")
+    found = tried.where(F.col("z") >= least_z).collect()  # bounded by the sample's words
+    counts = np.array([(r["t"], r["c"]) for r in found], np.int64).reshape(-1, 2)
+    clear = chance(counts[:, 0], counts[:, 1], n1, n0) * tried.count() < by_chance
+    return {r["f"]: r["odds"] for r, ok in zip(found, clear) if ok}
 
 
 def graded(rows: DataFrame, odds: dict[int, float]) -> DataFrame:
@@ -183,7 +200,7 @@ def score_toxicity(
     train_docs: int = 4000,
     longest: int = 20_000,
     least_z: float = 4.0,
-    of_strongest: float = 0.25,
+    by_chance: float = 0.05,
     least_docs: int = 5,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -199,7 +216,7 @@ def score_toxicity(
     """
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_bytes(text_column).alias("text"))
     rows = training_rows(narrow, labels, train_docs, longest)
-    odds = telling_features(rows, least_z, of_strongest, least_docs)
+    odds = telling_features(rows, least_z, by_chance, least_docs)
     if not odds:
         return narrow.select("doc_id", F.lit(0.0).alias("severity"), F.lit(False).alias("toxic"))
     shared = docs.sparkSession.sparkContext.broadcast(vars(fit_model(rows, odds)))
