@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatpulse.llm.bpe import decode_ids, encode_texts
 from chatpulse.llm.common import new_folder
 from chatpulse.llm.decontaminate import find_benchmark
 from chatpulse.llm.ego_join import embedding_links
@@ -76,6 +77,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(table(spark, sf_dir, "documents"), tokenizer_path())
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    told = encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), "ids"
+    )
+    decoded = decode_ids(told, tokenizer_path())
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op")}
 

@@ -11,7 +11,7 @@ PREFIX_RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
     ("block", "example.org", "/en/1"),
-    ("allow", "com", "/fr"),
+    ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

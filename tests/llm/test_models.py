@@ -219,7 +219,9 @@ URLS = {
     "http://example.org/en/12?x": ("example.org", "/en/12", "example.org/en/1", "block"),
     "http://other.org/de/": ("other.org", "/de/", "org/", "allow"),
     "ftp://badexample.org/es/#y": ("badexample.org", "/es/", "org/", "allow"),
-    "http://a.com/fr": ("a.com", "/fr", "com/fr", "allow"),
+    "http://a.com/fr/": ("a.com", "/fr/", "com/fr/", "allow"),
+    "http://b.com/fr": ("b.com", "/fr", None, "allow"),
+    "http://b.com/france/x": ("b.com", "/france/x", None, "allow"),
     "http://com/de/1": ("com", "/de/1", "com/de/", "block"),
     "http://q.net?x=http://a.com/de/": ("q.net", "", None, "allow"),
     "no-scheme.com/de/": ("", "", None, "allow"),
@@ -230,7 +232,7 @@ URLS = {
 
 def test_url_rules(spark):
     rows = [(i, u, "x") for i, u in enumerate(URLS)]
-    pages = spark.createDataFrame(rows + [(None, "http://a.com/fr", "y"), (5, "http://a.com/fr", "y")], "page_id long, url string, rule string")
+    pages = spark.createDataFrame(rows + [(None, "http://a.com/fr/", "y"), (5, "http://a.com/fr/", "y")], "page_id long, url string, rule string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     found = url_rules.judge_urls(pages, labels)
     assert found.count() == len(rows) + 2
