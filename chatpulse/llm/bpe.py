@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatpulse.llm.common import map_arrow, new_folder, text_or_empty
+from chatpulse.llm.common import map_arrow, text_or_empty, write_buckets
 from chatpulse.llm.tokens import LATIN, PATTERN, TextTokens, byte_alphabet, merge_ranks
 from chatpulse.llm.vocabulary import LocalCodes, by_frequency, gather, squeeze, unsqueeze
 
@@ -92,15 +92,34 @@ def word_blocks(docs: DataFrame, tokenizer_path: str, block_chars: int, id_colum
     return map_arrow(narrow, work, BLOCK)
 
 
-def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(word, block, place) -> (block, place, ids): each distinct word is encoded once.
+def encode_words(words: DataFrame, tokenizer_path: str, held_words: int = 500_000) -> DataFrame:
+    """(word, block, place) -> rows of (block, places, sizes, ids): each distinct word is encoded once.
 
     Rows are brought together by word and sorted, so that the rows of a word follow each
-    other; a word has one row a block, however often a block holds it.
+    other; a word has one row a block, however often a block holds it. What goes back to a block
+    is packed, up to ``held_words`` words of a task at a time.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, last, last_ids = TextTokens(tokenizer_path), None, b""
+        held: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
+
+        def packed() -> pa.RecordBatch:
+            blocks, places = (np.concatenate([h[i] for h in held] or [np.empty(0, np.int64)]) for i in (0, 1))
+            ids = [x for h in held for x in h[2]]
+            order = np.lexsort((places, blocks))
+            cuts = np.flatnonzero(np.diff(blocks[order])) + 1
+            rows = []
+            for own in np.split(order, cuts) if len(order) else []:
+                sizes = np.array([len(ids[i]) // 4 for i in own], np.uint32)
+                joined = np.frombuffer(b"".join(ids[i] for i in own), "<u4")
+                steps = np.diff(places[own], prepend=0).astype(np.uint32)
+                rows.append((int(blocks[own[0]]), squeeze(steps), squeeze(sizes), squeeze(joined)))
+            held.clear()
+            columns = list(zip(*rows)) or [()] * 4
+            types = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "places", "sizes", "ids"])
+
         for batch in batches:
             found = batch.column(0).to_pylist()
             fresh = [w for i, w in enumerate(found) if w != (found[i - 1] if i else last)]
@@ -109,11 +128,13 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
                 encoded[last] = last_ids
             if found:
                 last, last_ids = found[-1], encoded[found[-1]]
-            ids = pa.array([encoded[w] for w in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), ids], names=["block", "place", "ids"])
+                held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64), [encoded[w] for w in found]))
+            if sum(len(h[0]) for h in held) >= held_words:
+                yield packed()
+        yield packed()
 
     together = words.select("word", "block", "place").repartition("word").sortWithinPartitions("word")
-    return map_arrow(together, work, "block long, place int, ids binary")
+    return map_arrow(together, work, "block long, places binary, sizes binary, ids binary")
 
 
 def _ids_of_block(block: pa.Table, words: pa.Table) -> pa.Table:
@@ -121,13 +142,15 @@ def _ids_of_block(block: pa.Table, words: pa.Table) -> pa.Table:
     docs, starts, lengths, flat = [], np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
     if block.num_rows:
         row = block.to_pylist()[0]
-        order = np.argsort(words["place"].to_numpy())
-        coded = words["ids"].combine_chunks().take(pa.array(order))
-        sizes = np.array([len(x) // 4 for x in coded.to_pylist()], np.int64)
-        pieces = np.frombuffer(b"".join(coded.to_pylist()), "<u4").astype(np.int32)
+        coded = [[unsqueeze(r[n]) for n in ("places", "sizes", "ids")] for r in words.to_pylist()]
+        known = np.concatenate([np.cumsum(c[0], dtype=np.int64) for c in coded] or [starts])
+        size_of, at = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+        size_of[known] = sizes = np.concatenate([c[1] for c in coded] or [starts]).astype(np.int64)
+        at[known] = np.cumsum(sizes) - sizes
+        pieces = np.concatenate([c[2] for c in coded] or [starts]).astype(np.int32)
         places = unsqueeze(row["places"])
-        flat = gather(pieces, (np.cumsum(sizes) - sizes)[places], sizes[places])
-        ends = np.concatenate(([0], np.cumsum(sizes[places])))
+        flat = gather(pieces, at[places], size_of[places])
+        ends = np.concatenate(([0], np.cumsum(size_of[places])))
         cuts = ends[np.concatenate(([0], np.cumsum(np.array(row["lengths"], np.int64))))]
         text_of = np.array(row["text_of"], np.int64)
         docs, starts, lengths = row["doc_ids"], cuts[text_of], (cuts[1:] - cuts[:-1])[text_of]
@@ -146,19 +169,17 @@ def encode_texts(
     """(doc_id, ids array<int>) of whole texts, as the ``tokenizers`` library gives them without special tokens.
 
     Tasks cut their texts into words and store, block by block, each distinct word once and the
-    places of all words. The distinct words meet in one table, are encoded once each, and
+    places of all words, in buckets by block. The distinct words meet in one table, are encoded once each, and
     their ids return to the blocks, where they are set in place. What moves is one row for each distinct word
-    of a block, and the places, deflated. A word that is in every text costs one row a block.
+    of a block and its ids, packed; the places stay in their buckets. A word that is in every text costs one row a block.
 
     Null text counts as empty and gives no ids. Null and repeated ids keep their rows; an empty table gives
     none; other columns are ignored. Of any length a text is whole in one block. Tokenizers that
     aren't plain byte-level BPE raise ValueError, since their words can't be encoded one by one.
     """
     WordCutter(tokenizer_path)
-    folder = new_folder(docs.sparkSession, "bpe-blocks")
     cut = word_blocks(docs, tokenizer_path, block_chars, id_column, text_column)
-    cut.write.option("compression", "zstd").parquet(folder)
-    blocks = docs.sparkSession.read.schema(BLOCK).parquet(folder)
+    blocks = write_buckets(cut, "bpe_blocks", "block")
     words = blocks.select("block", F.posexplode("words").alias("place", "word"))
     coded = encode_words(words, tokenizer_path)
     places = blocks.select("block", "doc_ids", "text_of", "lengths", "places")

@@ -30,6 +30,19 @@ def write_once(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def write_buckets(frame: DataFrame, name: str, key: str) -> DataFrame:
+    """``write_once`` as a table in buckets by ``key``: a grouping by that key reads them where they lie, without a shuffle.
+
+    The rows are not moved for it; a task writes a file for each bucket that it has rows of.
+    """
+    spark = frame.sparkSession
+    folder = new_folder(spark, name)
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = frame.write.format("parquet").option("compression", "zstd").option("path", folder)
+    writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(table)
+    return spark.table(table)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 
 
@@ -27,14 +25,18 @@ def by_frequency(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.
     return rank[codes], order, counts[order]
 
 
-def squeeze(codes: np.ndarray) -> bytes:
-    """Byte planes of the numbers, deflated: small numbers leave the upper planes empty."""
-    planes = np.ascontiguousarray(codes, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Byte planes of the numbers, compressed: small numbers leave the upper planes empty."""
+    import zstandard
+
+    planes = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 

@@ -67,7 +67,9 @@ def test_each_distinct_word_is_encoded_once(spark, docs):
     blocks = bpe.word_blocks(docs, PATH, 1, "doc_id", "text")
     words = blocks.select("block", F.posexplode("words").alias("place", "word"))
     coded = bpe.encode_words(words, PATH).collect()
-    assert len(coded) == words.count() == words.distinct().count()
+    assert sum(len(unsqueeze(r["sizes"])) for r in coded) == words.count() == words.distinct().count()
+    again = bpe.encode_words(words, PATH, held_words=1).collect()
+    assert sum(int(unsqueeze(r["sizes"]).sum()) for r in again) == sum(len(unsqueeze(r["ids"])) for r in coded)
 
 
 @settings(max_examples=150, deadline=None)
