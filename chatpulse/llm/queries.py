@@ -11,9 +11,11 @@ from chatpulse.llm.bpe import decode_ids, encode_texts
 from chatpulse.llm.common import new_folder
 from chatpulse.llm.decontaminate import find_benchmark
 from chatpulse.llm.ego_join import embedding_links
+from chatpulse.llm.gnat_codes import compress_vectors
 from chatpulse.llm.hmm import score_texts
 from chatpulse.llm.kneser_ney import classify_quality
 from chatpulse.llm.packing import pack_documents
+from chatpulse.llm.phrases import mine_phrases
 from chatpulse.llm.simhash import simhash_components
 from chatpulse.llm.token_counts import count_tokens
 from chatpulse.llm.toxicity import score_toxicity
@@ -77,6 +79,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_texts(table(spark, sf_dir, "documents"), tokenizer_path())
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
@@ -93,10 +103,69 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op")}
 
 
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Assignment and mean of every round, one after the other."""
+    whole = "(s - ((s % n) + n) % n) // n"
+    steps = [
+        f"""v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+        q AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, len(e) // {parts} AS d,
+            list_transform(e, lambda x: floor(x * 4096)::HUGEINT) AS e FROM v
+          WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (SELECT rid, part, e[part * d + 1 : part * d + d] AS x FROM q, generate_series(0, {parts - 1}) AS s(part)),
+        b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, x FROM p WHERE rid <= {entries})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT rid, p.part, any_value(p.x) AS x, min({entries} * list_sum(
+            list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT + entry) AS best
+          FROM p JOIN b{i} b ON p.part = b.part GROUP BY rid, p.part)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT part, entry, list({whole} ORDER BY at) AS x FROM (
+                SELECT part, best % {entries} AS entry, at, sum(x[at])::HUGEINT AS s, count(*) AS n
+                FROM (SELECT part, best, x, unnest(range(1, len(x) + 1)) AS at FROM a{i}) GROUP BY ALL) GROUP BY part, entry),
+            b{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+              FROM b{i} b LEFT JOIN m{i} m ON b.part = m.part AND b.entry = m.entry)""")
+    return "WITH " + ",\n".join(steps) + f""",
+        c AS (SELECT rid, string_agg(printf('%02x', (best % {entries})::INTEGER), '' ORDER BY part) AS code,
+          sum(best // {entries})::BIGINT AS error FROM a{rounds} GROUP BY rid),
+        l AS (SELECT vec_id, label, code, error FROM c JOIN q USING (rid))
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT sha256(string_agg(x::VARCHAR, ','
+          ORDER BY part, entry, at)) FROM (SELECT part, entry, x[at] AS x, at FROM (
+            SELECT *, unnest(range(1, len(x) + 1)) AS at FROM b{rounds}))) AS codebooks_sha256 FROM l"""
+
+
+PHRASES_SQL = r"""WITH t AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+    ), w AS (
+      SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM t
+    ), g AS (
+      SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, generate_series(1, 3) AS s(k)) GROUP BY ALL
+    ), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k AS words, phrase, f AS a, string_split(phrase, ' ') AS ws FROM g WHERE k > 1 AND f >= 10),
+    cuts AS (
+      SELECT c.lang, c.phrase, a, h.f AS l, t.f AS r, cut, (1000000::HUGEINT * a * a) // (h.f::HUGEINT * t.f) AS score
+      FROM (SELECT *, unnest(range(1, words)) AS cut FROM c) c
+      JOIN g h ON h.lang = c.lang AND h.phrase = array_to_string(ws[1 : cut], ' ')
+      JOIN g t ON t.lang = c.lang AND t.phrase = array_to_string(ws[cut + 1 : words], ' ')
+    ), lowest AS (SELECT lang, phrase, unnest(min(struct_pack(score := score, cut := cut, a := a, l := l, r := r))) FROM cuts GROUP BY lang, phrase),
+    longer AS (
+      SELECT lang, phrase, max(a) AS most FROM (
+        SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS phrase FROM c WHERE words = 3
+      ) GROUP BY lang, phrase
+    ), ranked AS (
+      SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Mined rules, trained models, fingerprints, tokenizers and packings are beyond SQL; tests hold those
     queries against brute force instead."""
     return {
+        "op11_vector_codes": _codes_sql(),
+        "op12_phrases": PHRASES_SQL,
         "op5_vector_links": """WITH RECURSIVE v AS (
               SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
             ), usable AS (
