@@ -119,9 +119,9 @@ def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
             list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT + entry) AS best
           FROM p JOIN b{i} b ON p.part = b.part GROUP BY rid, p.part)""")
         if i < rounds:
-            steps.append(f"""m{i} AS (SELECT part, entry, list({whole} ORDER BY at) AS x FROM (
-                SELECT part, best % {entries} AS entry, at, sum(x[at])::HUGEINT AS s, count(*) AS n
-                FROM (SELECT part, best, x, unnest(range(1, len(x) + 1)) AS at FROM a{i}) GROUP BY ALL) GROUP BY part, entry),
+            steps.append(f"""m{i} AS (SELECT part, entry, list({whole} ORDER BY pos) AS x FROM (
+                SELECT part, best % {entries} AS entry, pos, sum(x[pos])::HUGEINT AS s, count(*) AS n
+                FROM (SELECT part, best, x, unnest(range(1, len(x) + 1)) AS pos FROM a{i}) GROUP BY ALL) GROUP BY part, entry),
             b{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
               FROM b{i} b LEFT JOIN m{i} m ON b.part = m.part AND b.entry = m.entry)""")
     return "WITH " + ",\n".join(steps) + f""",
@@ -129,8 +129,8 @@ def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
           sum(best // {entries})::BIGINT AS error FROM a{rounds} GROUP BY rid),
         l AS (SELECT vec_id, label, code, error FROM c JOIN q USING (rid))
         SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT sha256(string_agg(x::VARCHAR, ','
-          ORDER BY part, entry, at)) FROM (SELECT part, entry, x[at] AS x, at FROM (
-            SELECT *, unnest(range(1, len(x) + 1)) AS at FROM b{rounds}))) AS codebooks_sha256 FROM l"""
+          ORDER BY part, entry, pos)) FROM (SELECT part, entry, x[pos] AS x, pos FROM (
+            SELECT *, unnest(range(1, len(x) + 1)) AS pos FROM b{rounds}))) AS codebooks_sha256 FROM l"""
 
 
 PHRASES_SQL = r"""WITH t AS (
