@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from chatpulse.llm.common import new_folder
 from chatpulse.llm.decontaminate import drop_contaminated
 from chatpulse.llm.kneser_ney import drop_low_quality
-from chatpulse.llm.near_copies import keep_one_of_similar
 from chatpulse.llm.queries import packed_pieces
+from chatpulse.llm.simhash import keep_one_each
 from chatpulse.llm.toxicity import drop_toxic
 from chatpulse.sources.tables import table
 
@@ -21,8 +21,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one_of_similar(docs)
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Fingerprints of 3-word shingles, linked at two differing bits or fewer."""
+    return keep_one_each(docs, radius=2, shingle=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality),
     ("toxicity", toxicity),
-    ("near-duplicates", near_duplicates),
+    ("SimHash near-dedup", simhash_near_dedup),
     ("benchmark decontamination", decontamination),
     ("packing", packing),
 ]
