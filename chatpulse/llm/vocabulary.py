@@ -44,4 +44,7 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     """The stretches flat[start : start + length], one after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+    small = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.repeat((starts - (ends - lengths)).astype(small), lengths)
+    at += np.arange(total, dtype=small)
+    return flat[at]
