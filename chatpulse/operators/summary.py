@@ -24,6 +24,11 @@ SUMMARY_COLUMNS = (
 )
 
 
+#: The numbers of a summary, and the places of its two picks in arrival order.
+NUMBERS = SUMMARY_COLUMNS[:5]
+PLACES = ("_positive_at", "_negative_at")
+
+
 def _average() -> Column:
     return F.when(
         F.col("sentence_count") > 0, F.col("score_sum") / F.col("sentence_count")
@@ -40,6 +45,24 @@ def with_label(summaries: DataFrame) -> DataFrame:
     )
 
 
+def summary_numbers() -> list[Column]:
+    """``NUMBERS`` from rows of ``message_stats``."""
+    return [
+        F.count(F.lit(1)).alias("message_count"),
+        F.sum("sentence_count").alias("sentence_count"),
+        F.sum("score_sum").alias("score_sum"),
+        F.max("max_score").alias("max_score"),
+        F.min("min_score").alias("min_score"),
+    ]
+
+
+def pick_places(at: str = "_at") -> list[Column]:
+    """``PLACES``: where the first clearly positive and the first clearly negative message stand."""
+    positive = F.when(F.col("max_score") >= POSITIVE_FLOOR, F.col(at))
+    negative = F.when(F.col("min_score") < NEGATIVE_CEILING, F.col(at))
+    return [F.min(pick).alias(name) for pick, name in zip((positive, negative), PLACES)]
+
+
 def summary_aggregates(plan: WindowPlan = WindowPlan(), true_extremes: bool = False) -> list[Column]:
     """What a window needs from rows of ``message_stats``.
 
@@ -55,11 +78,7 @@ def summary_aggregates(plan: WindowPlan = WindowPlan(), true_extremes: bool = Fa
     positive = F.when(F.col("max_score") >= POSITIVE_FLOOR, positive_rank)
     negative = F.when(F.col("min_score") < NEGATIVE_CEILING, negative_rank)
     return [
-        F.count(F.lit(1)).alias("message_count"),
-        F.sum("sentence_count").alias("sentence_count"),
-        F.sum("score_sum").alias("score_sum"),
-        F.max("max_score").alias("max_score"),
-        F.min("min_score").alias("min_score"),
+        *summary_numbers(),
         F.min_by("message", positive).alias("most_positive"),
         F.min_by("message", negative).alias("most_negative"),
     ]

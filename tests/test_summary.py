@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatpulse.config import WindowPlan
+from chatpulse.functions.packed import id_filter, packed_order
 from chatpulse.functions.sentiment import ENGLISH_LEXICON, lexicon_scorer
-from chatpulse.operators.scoring import message_stats
-from chatpulse.operators.summary import rollup_windows, window_summary
+from chatpulse.operators.scoring import message_stats, score_stats
+from chatpulse.operators.summary import rollup_windows, summary_aggregates, window_summary, with_label
 from chatpulse.operators.windows import assign_windows
-from chatpulse.plans.branches import sentiment_branch, unlimited_summary
+from chatpulse.plans.branches import sentiment_branch, unlimited_numbers, unlimited_summary
 from tests.helpers import at, messages, plan_text, scored
 
 ENGLISH = lexicon_scorer(ENGLISH_LEXICON)
@@ -120,7 +121,49 @@ def test_aggregation_reuses_the_placement_of_the_limit(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
-def test_unlimited_summary_combines_before_its_only_shuffle(spark):
-    plan = plan_text(unlimited_summary(messages(spark, [(0, "good")]), ENGLISH))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "partial_sum" in plan and "partial_min_by" in plan
+def test_unlimited_numbers_combine_before_their_only_shuffle(spark):
+    frame, plan = messages(spark, [(0, "good")]), WindowPlan()
+    text = plan_text(unlimited_numbers(frame, ENGLISH, plan, packed_order(frame, plan.order)))
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text
+    # No sort, and no text from the first combination on.
+    assert "Sort" not in text and "ObjectHash" not in text and text.count("HashAggregate") == 2
+    above = text[: text.rindex("HashAggregate")]
+    assert "message#" not in above and "_scores" not in above
+
+
+def test_unlimited_summary_equals_the_one_that_takes_texts_along(spark):
+    rows = [(i * 1.5, f"{['good', 'bad. good', 'plain', '', 'awful', 'Fantastic! bad'][i % 6]} {i}") for i in range(500)]
+    frame = messages(spark, rows).withColumn("channel", F.when(F.col("seq") % 3 > 0, F.concat(F.lit("C"), F.col("seq") % 3)))
+    # The same arrivals and places in every channel.
+    frame = frame.withColumn("seq", F.col("seq") - F.col("seq") % 3).withColumn("arrival", F.date_trunc("minute", "arrival"))
+    for plan in (WindowPlan(keys=("channel",)), WindowPlan(keys=("channel",), order=("arrival", "user", "seq"))):
+        found = unlimited_summary(frame, ENGLISH, plan)
+        wanted = with_label(
+            score_stats(assign_windows(frame, plan), ENGLISH).groupBy(*plan.group).agg(*summary_aggregates(plan))
+        )
+        assert found.columns == wanted.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect())) and wanted.count() > 30
+    assert unlimited_summary(frame.where("false"), ENGLISH).count() == 0
+
+
+def test_packed_places_sort_like_their_columns(spark):
+    import datetime as dt
+
+    instants = [dt.datetime(1950, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 1), dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31)]
+    rows = [(t, n) for t in instants for n in (None, -(2**63), -1, 0, 5, 2**63 - 1)]
+    frame = spark.createDataFrame(rows, "arrival timestamp, seq long")
+    at = packed_order(frame, ("arrival", "seq"))
+    found = frame.select("arrival", "seq", at.alias("at")).orderBy("at", "arrival", F.col("seq").asc_nulls_first()).collect()
+    assert [(r.arrival, r.seq) for r in found] == sorted(rows, key=lambda r: (r[0], -(2**64) if r[1] is None else r[1]))
+    assert packed_order(frame.withColumn("user", F.lit("x")), ("arrival", "user")) is None
+    assert packed_order(frame, ("arrival", "arrival", "seq")) is None
+
+
+def test_id_filter_holds_all_ids_and_few_others(spark):
+    ids = spark.range(0, 300_000, 100)
+    holds = id_filter(ids, "id")
+    passed = spark.range(300_000).where(holds(F.col("id")))
+    assert passed.join(ids, "id").count() == 3000 and passed.count() < 3100
+    assert spark.range(1000).where(id_filter(ids.where("false"), "id")(F.col("id"))).count() == 0
+    full = id_filter(ids, "id", bits=64)
+    assert spark.range(1000).where(full(F.col("id"))).count() == 1000
