@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatpulse.functions.lines import (
@@ -16,6 +16,7 @@ from chatpulse.functions.lines import (
 from chatpulse.functions.once import with_once
 
 MALFORMED = "malformed line"
+REASONS = ("timestamp", "user", "message")
 
 
 def channel_events(events: DataFrame, channel: str, event_type: str = "message") -> DataFrame:
@@ -60,16 +61,44 @@ def parse_lines(lines: DataFrame, value: str = "value", strict: bool = False) ->
     return fields.where(_well_formed()).drop(value)
 
 
-def quarantine_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """The malformed lines, unchanged, with the first field that failed as ``reason``."""
-    reason = (
+def _reason():
+    return (
         F.when(F.col("event_time").isNull(), "timestamp")
         .when(F.col("user").isNull(), "user")
-        .otherwise("message")
+        .when(F.col("message").isNull(), "message")
     )
+
+
+def tagged_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Every line, parsed once: ``event_time, user, message`` and ``reason``, the first field that failed.
+
+    ``reason`` is null for well-formed lines. ``good_lines`` and ``damaged_lines`` take the two kinds out of
+    a stored table of these rows.
+    """
+    return _read_fields(lines, value).withColumn("reason", _reason())
+
+
+def good_lines(tagged: DataFrame, value: str = "value") -> DataFrame:
+    """What ``parse_lines`` gives, from stored ``tagged_lines``."""
+    return tagged.where(F.col("reason").isNull()).drop(value, "reason")
+
+
+def damaged_lines(tagged: DataFrame) -> DataFrame:
+    """What ``quarantine_lines`` gives, from stored ``tagged_lines``."""
+    return tagged.where(F.col("reason").isNotNull()).drop("event_time", "user", "message")
+
+
+def line_counts() -> list[Column]:
+    """Metrics to observe on ``tagged_lines``: all lines, and the damaged ones by their reason."""
+    by_reason = [F.count_if(F.col("reason") == name).alias(name) for name in REASONS]
+    return [F.count(F.lit(1)).alias("lines"), *by_reason]
+
+
+def quarantine_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The malformed lines, unchanged, with the first field that failed as ``reason``."""
     return (
         _read_fields(lines, value)
         .where(~_well_formed())
-        .withColumn("reason", reason)
+        .withColumn("reason", _reason())
         .drop("event_time", "user", "message")
     )

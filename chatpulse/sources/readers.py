@@ -80,6 +80,7 @@ def result_topics(
     return feed.withColumn("value", F.col("value").cast("string"))
 
 
-def result_table(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Stored results; a batch read is a replay from the start."""
-    return _reader(spark, streaming).schema(RESULT_FEED).parquet(path)
+def result_table(spark: SparkSession, path: str, streaming: bool = False, files: int | None = None) -> DataFrame:
+    """Stored results; a batch read is a replay from the start. ``files`` limits what a micro-batch takes."""
+    reader = _reader(spark, streaming).schema(RESULT_FEED)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)

@@ -34,10 +34,13 @@ def lexicon_table(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(token, weight)")
 
 
-def document_messages(documents: DataFrame) -> DataFrame:
-    """One message per document: 60 a minute, so the one-minute limit of 50 does evict."""
+def document_messages(documents: DataFrame, first: str = FIRST_ARRIVAL, step: int = 1) -> DataFrame:
+    """One message per document: 60 a minute, so the one-minute limit of 50 does evict.
+
+    ``first`` is the arrival of document 0, ``step`` the seconds from one document to the next.
+    """
     arrival = F.timestamp_seconds(
-        F.unix_timestamp(F.lit(FIRST_ARRIVAL).cast("timestamp")) + F.col("doc_id")
+        F.unix_timestamp(F.lit(first).cast("timestamp")) + F.col("doc_id") * step
     )
     return documents.select(
         arrival.alias("arrival"),

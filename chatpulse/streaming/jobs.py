@@ -23,10 +23,18 @@ from chatpulse.operators.comparison import (
 from chatpulse.operators.enrichment import ClientFactory, answered, extract_content, failed, unusable_replies
 from chatpulse.operators.results import result_json
 from chatpulse.operators.windows import keep_newest
-from chatpulse.plans.branches import narrative_branch, summarise_kept, unlimited_summary
+from chatpulse.plans.branches import narrative_branch, narrative_requests, summarise_kept
 from chatpulse.session import is_written, stream_settings
+from chatpulse.sources.files import expire_batches
+from chatpulse.sources.serving import ServingTable
 from chatpulse.sources.writers import BatchSink, table_sink
+from chatpulse.streaming.merge import merged_sides
+from chatpulse.streaming.model import model_replies
 from chatpulse.streaming.newest import EVENT_TIME, PROCESSING_TIME, closed_windows
+from chatpulse.streaming.totals import all_message_windows
+
+
+MODES = (EVENT_TIME, PROCESSING_TIME)
 
 
 @dataclass(frozen=True)
@@ -40,14 +48,23 @@ class NarrativeStep:
     parallelism: int | None = None
 
 
-def _start(
+@dataclass(frozen=True)
+class HandOff:
+    """Requests of closed windows, stored for a model stream (``start_model``) that reads them at its own pace."""
+
+    settings: EnrichSettings
+    sink: BatchSink
+
+
+def start_batches(
     frame: DataFrame,
     handler: Callable[[DataFrame, int], None],
     name: str,
     work_dir: str,
     trigger: str | None,
-    partitions: int | None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
+    """Start a stream whose micro-batches go to ``handler``; its checkpoint lies in ``work_dir``."""
     writer = (
         frame.writeStream.queryName(name)
         .outputMode("append")
@@ -67,6 +84,8 @@ def window_handler(
     results: BatchSink | None = None,
     summaries: BatchSink | None = None,
     narrative: NarrativeStep | None = None,
+    hand_off: HandOff | None = None,
+    keep_batches: int = 100,
 ) -> Callable[[DataFrame, int], None]:
     """Both branches over the windows a micro-batch has closed.
 
@@ -74,13 +93,19 @@ def window_handler(
     same messages, and losing an executor repeats neither the stateful step nor a branch
     that is done. Replies of the model are written down before use for the same reason: a
     micro-batch that runs again takes those it has and calls the model only if it has none.
-    Results carry their micro-batch as ``seq``.
+    Results carry their micro-batch as ``seq``. ``narrative`` calls the model here; ``hand_off`` only
+    stores what is to be sent, one row a window, so that no call holds up the classifier.
+
+    A micro-batch starts once all before it are committed, and only a micro-batch that runs again reads
+    its own folders; so those more than ``keep_batches`` back are deleted.
     """
     scorer = check_scorer(scorer)
     settled = plan.with_(shards=1)
 
     def handle(closed: DataFrame, batch_id: int) -> None:
         spark = closed.sparkSession
+        for own in ("closed", "replies"):
+            expire_batches(spark, f"{work_dir}/{own}", batch_id - keep_batches)
         closed = closed.persist()
         try:
             if closed.isEmpty():
@@ -97,6 +122,8 @@ def window_handler(
                 summaries(summary, batch_id)
             if results:
                 results(result_json(summary, plan).withColumn("seq", seq), batch_id)
+        if hand_off:
+            hand_off.sink(narrative_requests(kept, hand_off.settings, plan), batch_id)
         if narrative:
             called = narrative_branch(
                 kept, narrative.client_factory, narrative.settings, plan, narrative.parallelism
@@ -122,6 +149,7 @@ def start_windows(
     results: BatchSink | None = None,
     summaries: BatchSink | None = None,
     narrative: NarrativeStep | None = None,
+    hand_off: HandOff | None = None,
     mode: str = EVENT_TIME,
     delay: str = "0 seconds",
     trigger: str | None = "10 seconds",
@@ -134,11 +162,11 @@ def start_windows(
     ``trigger=None`` processes what is there and stops. ``partitions`` is the number of
     state partitions, fixed with the first start.
     """
-    if mode not in (EVENT_TIME, PROCESSING_TIME):
-        raise ValueError(f"mode must be {EVENT_TIME} or {PROCESSING_TIME}")
-    handler = window_handler(scorer, plan, work_dir, results, summaries, narrative)
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    handler = window_handler(scorer, plan, work_dir, results, summaries, narrative, hand_off)
     closed = closed_windows(messages, plan, mode, delay)
-    return _start(closed, handler, name, work_dir, trigger, partitions)
+    return start_batches(closed, handler, name, work_dir, trigger, partitions)
 
 
 def start_unlimited(
@@ -151,11 +179,62 @@ def start_unlimited(
     trigger: str | None = "10 seconds",
     name: str = "chat-all-messages",
     partitions: int | None = None,
+    mode: str = EVENT_TIME,
 ) -> StreamingQuery:
-    """Summarise ALL messages of each window; one combined row per window is the whole state."""
-    watched = messages.withWatermark(plan.order[0], delay)
-    summary = unlimited_summary(watched, check_scorer(scorer), plan)
-    return _start(summary, sink, name, work_dir, trigger, partitions)
+    """Summarise ALL messages of each window; its numbers and two texts are the whole state."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    summary = all_message_windows(messages, check_scorer(scorer), plan, mode, delay)
+    return start_batches(summary, sink, name, work_dir, trigger, partitions)
+
+
+def model_handler(
+    work_dir: str, sink: BatchSink, failures: BatchSink | None = None, keep_batches: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Publish replies: contents to ``sink``, windows without a usable one and the reason to ``failures``.
+
+    Replies are written down before they are used, so each is taken from the state once. Their folders are
+    deleted when they are more than ``keep_batches`` back, if that is given.
+    """
+
+    def handle(replies: DataFrame, batch_id: int) -> None:
+        if keep_batches is not None:
+            expire_batches(replies.sparkSession, f"{work_dir}/replies", batch_id - keep_batches)
+        replies = replies.persist()
+        try:
+            if replies.isEmpty():
+                return
+            table_sink(f"{work_dir}/replies")(replies, batch_id)
+        finally:
+            replies.unpersist()
+        stored = replies.sparkSession.read.schema(replies.schema).parquet(f"{work_dir}/replies/batch_id={batch_id}")
+        seq = F.lit(batch_id).cast("bigint")
+        sink(extract_content(answered(stored)).withColumn("seq", seq), batch_id)
+        if failures:
+            unusable = unusable_replies(answered(stored)).withColumn("error", F.lit("unusable reply"))
+            failures(failed(stored).unionByName(unusable.drop("response")), batch_id)
+
+    return handle
+
+
+def start_model(
+    requests: DataFrame,
+    client_factory: ClientFactory,
+    settings: EnrichSettings,
+    work_dir: str,
+    sink: BatchSink,
+    failures: BatchSink | None = None,
+    plan: WindowPlan = WindowPlan(),
+    trigger: str = "1 second",
+    name: str = "chat-model",
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """Send stored requests (``HandOff``) to the model, apart from the classifier's stream.
+
+    ``partitions`` is the number of calls under way at a time.
+    """
+    replies = model_replies(requests, client_factory, settings, plan)
+    return start_batches(replies, model_handler(work_dir, sink, failures), name, work_dir, trigger, partitions)
 
 
 def compared_stream(
@@ -205,11 +284,38 @@ def start_comparison(
     seq: Order = "seq",
 ) -> StreamingQuery:
     pairs = compared_stream(classifier_feed, narrative_feed, plan, delay, seq)
-    return _start(pairs, sink, name, work_dir, trigger, partitions)
+    return start_batches(pairs, sink, name, work_dir, trigger, partitions)
+
+
+def start_live(
+    results: DataFrame,
+    work_dir: str,
+    sink: BatchSink,
+    plan: WindowPlan = WindowPlan(),
+    delay: str = "10 minutes",
+    trigger: str | None = "10 seconds",
+    name: str = "chat-live",
+    partitions: int | None = None,
+    seq: Order = "seq",
+) -> StreamingQuery:
+    """Send the changes of the comparison of a stream of parsed results; see ``merged_sides``."""
+    return start_batches(merged_sides(results, plan, delay, seq), sink, name, work_dir, trigger, partitions)
+
+
+def start_served(
+    results: DataFrame,
+    work_dir: str,
+    table: ServingTable,
+    writer: str = "main",
+    trigger: str | None = "10 seconds",
+    name: str = "chat-served",
+) -> StreamingQuery:
+    """Keep a keyed table of parsed results up to date; readers take ``table.read()``."""
+    return start_batches(results, table.sink(writer), name, work_dir, trigger, None)
 
 
 def start_serving(
     feed: DataFrame, work_dir: str, serving_path: str, trigger: str | None = "10 seconds", name: str = "chat-serving"
 ) -> StreamingQuery:
     """Store every incoming result for readers; they take ``latest_per_window`` of the table."""
-    return _start(feed, table_sink(serving_path), name, work_dir, trigger, None)
+    return start_batches(feed, table_sink(serving_path), name, work_dir, trigger, None)
