@@ -32,7 +32,9 @@ from chatpulse.operators.enrichment import (
     window_requests,
 )
 from chatpulse.operators.lines import channel_events, format_lines, parse_lines, quarantine_lines
+from chatpulse.operators.placement import place_results
 from chatpulse.operators.results import NO_MESSAGE, result_json
+from chatpulse.operators.rollups import merge_states, state_histogram, state_summary, window_states
 from chatpulse.operators.scoring import (
     class_histogram,
     score_messages,
@@ -50,7 +52,7 @@ from chatpulse.plans.branches import (
     summarise_kept,
     unlimited_summary,
 )
-from chatpulse.session import pin_zone, store_once
+from chatpulse.session import fresh_folder, pin_zone, store_once
 from chatpulse.sources.offline import offline_client_factory
 from chatpulse.sources.readers import KAFKA_ORDER
 from chatpulse.sources.tables import (
@@ -63,7 +65,17 @@ from chatpulse.sources.tables import (
     table,
     turn_messages,
 )
-from chatpulse.streaming.replay import replay_comparison, replay_published, replay_summary, replay_unlimited
+from chatpulse.streaming.lines import split_lines
+from chatpulse.streaming.replay import (
+    replay_clock,
+    replay_comparison,
+    replay_live,
+    replay_model,
+    replay_published,
+    replay_served,
+    replay_summary,
+    replay_unlimited,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -111,6 +123,12 @@ def q_quarantine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_lines(event_lines(events(spark, sf_dir)))
 
 
+def q_split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and damaged lines from one stored pass, put together again."""
+    good, damaged = split_lines(event_lines(events(spark, sf_dir)), fresh_folder(spark, "lines"))
+    return good.unionByName(damaged, allowMissingColumns=True)
+
+
 def q_channel_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = event_feed(events(spark, sf_dir))
     return channel_events(feed, "click").select("seq", "channel", "ts", "user", "text")
@@ -195,6 +213,23 @@ def q_rollup_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_windows(summaries(spark, sf_dir), "5 minutes", MINUTE)
 
 
+def _minute_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = kept_messages(documents(spark, sf_dir), MINUTE)
+    return store_once(window_states(kept, SCORER, MINUTE), "states")
+
+
+def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifteen minutes every five minutes from minute states, with the median sentence."""
+    sliding = merge_states(_minute_states(spark, sf_dir), "15 minutes", "5 minutes", MINUTE)
+    return state_summary(sliding, MINUTE, {"median_score": 0.5})
+
+
+def q_hourly_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of an hour's sentences, merged from minutes by way of five minutes."""
+    fives = merge_states(_minute_states(spark, sf_dir), "5 minutes", plan=MINUTE)
+    return state_histogram(merge_states(fives, "1 hour", plan=MINUTE), MINUTE)
+
+
 def q_conversation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = MINUTE.with_(keys=("conv_id",))
     turns = turn_messages(table(pin_zone(spark), sf_dir, "conversations"))
@@ -234,7 +269,10 @@ def q_llm_request(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_llm_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = EnrichSettings(model=MODEL, wait_ms=0)
     requests = narrative_requests(_kept_documents(spark, sf_dir), settings, MINUTE)
-    replies = enrich(requests, offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT), settings, MINUTE)
+    return _told(enrich(requests, offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT), settings, MINUTE))
+
+
+def _told(replies: DataFrame) -> DataFrame:
     content = F.get_json_object("response", "$.choices[0].message.content")
     return replies.select(
         *MINUTE.group,
@@ -321,6 +359,35 @@ def q_compare_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_windows(read_results(rows), MINUTE, KAFKA_ORDER)
 
 
+#: Documents ten seconds apart through the night in which London's clocks go back: 01:00 to 02:00 is printed twice.
+AUTUMN_NIGHT = "2024-10-26 23:30:00"
+AUTUMN_STEP = 10
+
+
+def q_placed_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of an autumn night as rows of a topic, without bounds and read back days later.
+
+    Classifier results lie in partition 0 in window order. In partition 1 every result is sent again after the next one, so
+    that its order proves nothing: the doubled hours of that partition can't be placed and come out without bounds.
+    """
+    messages = document_messages(table(pin_zone(spark), sf_dir, "documents"), AUTUMN_NIGHT, AUTUMN_STEP)
+    feed = result_json(sentiment_branch(messages, SCORER, MINUTE), MINUTE)
+    minute = F.floor(F.unix_seconds("win_start") / 60)
+    sent = F.explode(F.array(
+        F.struct(F.lit(0).alias("partition"), minute.alias("offset")),
+        F.struct(F.lit(1).alias("partition"), (2 * minute).alias("offset")),
+        F.struct(F.lit(1).alias("partition"), (2 * minute + 3).alias("offset")),
+    ))
+    rows = feed.select("value", (F.col("win_end") + F.expr("INTERVAL 3 DAYS")).alias("arrival"), sent.alias("_s"))
+    placed = place_results(read_results(rows.select("value", "arrival", "_s.partition", "_s.offset")))
+    return placed.select("partition", "offset", "win_start", "win_end", "window_key", "message_count")
+
+
+def q_served_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed through a serving table, a few micro-batches and compactions long."""
+    return replay_served(result_feed(spark, sf_dir), MINUTE)
+
+
 def enriched_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both branches over the same kept messages: summaries, and prompt, request, reply and content."""
     kept = store_once(_kept_documents(spark, sf_dir), "kept")
@@ -363,6 +430,25 @@ def q_stream_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_comparison(result_feed(spark, sf_dir), MINUTE)
 
 
+def q_stream_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both results of each window as the live comparison holds them, and the windows that waited in vain."""
+    return replay_live(result_feed(spark, sf_dir), MINUTE)
+
+
+def q_stream_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests through the model's own stream, with a model that fails for some windows."""
+    settings = EnrichSettings(model=MODEL, wait_ms=0)
+    requests = narrative_requests(_kept_documents(spark, sf_dir), settings, MINUTE)
+    replies = replay_model(requests, offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT), settings, MINUTE)
+    return _told(replies)
+
+
+def q_clock_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by the clock: rows are stamped as they are read, and all of them end without a later row."""
+    counted = replay_clock(pin_zone(spark), f"{sf_dir}/documents.parquet", SCORER)
+    return counted.agg(F.sum("message_count").alias("messages"), F.sum("sentence_count").alias("sentences"))
+
+
 def _text_jobs():
     """The training-text subpackage and its pipeline; None for both where they are not installed."""
     try:
@@ -505,6 +591,14 @@ prompts AS (
 
 _MINUTE = "(epoch_us(win_start) // 60000000)"
 
+_ENRICH = f"""{_PROMPTS},
+            turns AS (SELECT *, {_MINUTE} % {EVERY} AS turn FROM prompts)
+            SELECT win_start, win_end, CASE WHEN turn = {DOWN_AT} THEN 3 ELSE 1 END AS attempts,
+                   CASE WHEN turn = {DOWN_AT} THEN 'model unavailable' END AS error,
+                   CASE WHEN turn NOT IN ({DOWN_AT}, {UNUSABLE_AT}) THEN {_london('win_start')} END AS start_text,
+                   CASE WHEN turn NOT IN ({DOWN_AT}, {UNUSABLE_AT}) THEN message_count END AS message_count
+            FROM turns"""
+
 _RESULTS = f"""{_SUMMARY},
 named AS (
   SELECT *, {_london('win_start')} || ' - ' || {_london('win_end')} AS window_key FROM summary
@@ -565,6 +659,10 @@ def _own_sql() -> dict[str, str]:
             f.u AS "user", f.m AS message FROM parsed WHERE f.s <> ''""",
         "quarantine_lines": f"""WITH {_LINES}
             SELECT seq, value, 'message' AS reason FROM parsed WHERE f.s = ''""",
+        "split_lines": f"""WITH {_LINES} SELECT seq, CASE WHEN f.s = '' THEN value END AS value,
+            CASE WHEN f.s = '' THEN 'message' END AS reason,
+            CASE WHEN f.s <> '' THEN floor(f.s::DECIMAL(18, 6))::BIGINT END AS event_time,
+            CASE WHEN f.s <> '' THEN f.u END AS "user", CASE WHEN f.s <> '' THEN f.m END AS message FROM parsed""",
         "channel_filter": f"""WITH {_LINES}
             SELECT seq, channel, ts, "user", text FROM feed WHERE channel = 'click'""",
         "tumbling_count": f"""WITH {_EVENT_MSGS}, {_windowed('1 minute')}
@@ -599,6 +697,17 @@ def _own_sql() -> dict[str, str]:
             longer AS (SELECT * REPLACE (time_bucket(INTERVAL '5 minutes', arrival) AS win_start,
                 time_bucket(INTERVAL '5 minutes', arrival) + INTERVAL '5 minutes' AS win_end) FROM kept),
             {_scored('longer')}, {_summed()} SELECT * FROM summary""",
+        "sliding_windows": f"""WITH {_DOCS}, {_windowed('1 minute')},
+            longer AS (SELECT * REPLACE (time_bucket(INTERVAL '5 minutes', arrival) - to_minutes(back) AS win_start,
+                time_bucket(INTERVAL '5 minutes', arrival) - to_minutes(back) + INTERVAL '15 minutes' AS win_end)
+              FROM kept, (VALUES (0), (5), (10)) AS b(back)),
+            {_scored('longer')}, {_summed()},
+            sentences AS (SELECT win_start, unnest(scores) AS score FROM scored),
+            medians AS (SELECT win_start, quantile_disc(score, 0.5) AS median_score FROM sentences GROUP BY win_start)
+            SELECT summary.*, median_score FROM summary LEFT JOIN medians USING (win_start)""",
+        "hourly_histogram": f"""WITH {_DOCS}, {_windowed('1 minute')}, {_scored('kept')},
+            rows AS (SELECT time_bucket(INTERVAL '1 hour', arrival) AS win_start, unnest(scores) AS score FROM scored)
+            SELECT win_start, win_start + INTERVAL '1 hour' AS win_end, {_CLASS} AS class, count(*) AS sentences FROM rows GROUP BY ALL""",
         "conversation_summary": f"""WITH msgs AS (
               SELECT conv_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn * 10) AS arrival, turn AS seq,
                      role AS "user", text AS message FROM conversations),
@@ -610,13 +719,7 @@ def _own_sql() -> dict[str, str]:
         "llm_request": f"""{_PROMPTS} SELECT win_start, win_end, '{MODEL}' AS model, 2 AS messages,
             'system' AS first_role, '{SYSTEM_PROMPT}' AS first_content,
             'user' AS second_role, prompt AS second_content FROM prompts""",
-        "llm_enrich": f"""{_PROMPTS},
-            turns AS (SELECT *, {_MINUTE} % {EVERY} AS turn FROM prompts)
-            SELECT win_start, win_end, CASE WHEN turn = {DOWN_AT} THEN 3 ELSE 1 END AS attempts,
-                   CASE WHEN turn = {DOWN_AT} THEN 'model unavailable' END AS error,
-                   CASE WHEN turn NOT IN ({DOWN_AT}, {UNUSABLE_AT}) THEN {_london('win_start')} END AS start_text,
-                   CASE WHEN turn NOT IN ({DOWN_AT}, {UNUSABLE_AT}) THEN message_count END AS message_count
-            FROM turns""",
+        "llm_enrich": _ENRICH,
         "llm_extract": f"""{_RESULTS} SELECT * EXCLUDE (seq, average_score) FROM results
             WHERE kind = 'narrative'""",
         "union_results": f"{_RESULTS} SELECT * FROM results",
@@ -628,6 +731,26 @@ def _own_sql() -> dict[str, str]:
         "stream_unlimited": f"""WITH {_DOCS}, {_windowed('1 minute')}, {_scored('windowed')}, {_summed()}
             SELECT * FROM summary""",
         "stream_compare": f"{_RESULTS} {_COMPARED}",
+        "stream_live": f"""{_RESULTS}, pairs AS ({_COMPARED})
+            SELECT *, NULL::VARCHAR AS missing FROM pairs UNION ALL BY NAME
+            SELECT win_start, win_end, 'narrative' AS missing FROM latest GROUP BY win_start, win_end HAVING count(*) = 1""",
+        "stream_model": _ENRICH,
+        "clock_windows": f"""WITH {_DOCS}, {_scored('msgs')}
+            SELECT count(*)::BIGINT AS messages, sum(n)::BIGINT AS sentences FROM stats""",
+        "served_windows": f"{_RESULTS} SELECT * FROM latest",
+        "placed_topics": f"""WITH msgs AS (
+              SELECT TIMESTAMP '{AUTUMN_NIGHT}' + to_seconds(doc_id * {AUTUMN_STEP}) AS arrival, doc_id AS seq FROM documents
+            ), {_windowed('1 minute')},
+            counted AS (SELECT win_start, win_end, count(*) AS message_count, {_MINUTE} AS minute FROM kept GROUP BY ALL),
+            sent AS (
+              SELECT *, 0 AS "partition", minute AS "offset" FROM counted UNION ALL
+              SELECT *, 1, 2 * minute + again FROM counted, (VALUES (0), (3)) AS s(again)
+            ), told AS (
+              SELECT *, "partition" = 1 AND win_start >= TIMESTAMP '2024-10-27 00:00:00' AND win_start < TIMESTAMP '2024-10-27 02:00:00'
+                AND win_start <> TIMESTAMP '2024-10-27 00:59:00' AS lost FROM sent
+            )
+            SELECT "partition", "offset", CASE WHEN NOT lost THEN win_start END AS win_start, CASE WHEN NOT lost THEN win_end END AS win_end,
+              {_london('win_start')} || ' - ' || {_london('win_end')} AS window_key, message_count FROM told""",
         "compare_topics": f"{_RESULTS} {_COMPARED}",
         "compare_enriched": f"{_RESULTS} {_ENRICHED}",
         "stream_published": f"{_RESULTS} {_ENRICHED}",
