@@ -661,7 +661,7 @@ def _own_sql() -> dict[str, str]:
             SELECT seq, value, 'message' AS reason FROM parsed WHERE f.s = ''""",
         "split_lines": f"""WITH {_LINES} SELECT seq, CASE WHEN f.s = '' THEN value END AS value,
             CASE WHEN f.s = '' THEN 'message' END AS reason,
-            CASE WHEN f.s <> '' THEN floor(f.s::DECIMAL(18, 6))::BIGINT END AS event_time,
+            floor(nullif(f.s, '')::DECIMAL(18, 6))::BIGINT AS event_time,
             CASE WHEN f.s <> '' THEN f.u END AS "user", CASE WHEN f.s <> '' THEN f.m END AS message FROM parsed""",
         "channel_filter": f"""WITH {_LINES}
             SELECT seq, channel, ts, "user", text FROM feed WHERE channel = 'click'""",
@@ -744,7 +744,7 @@ def _own_sql() -> dict[str, str]:
             counted AS (SELECT win_start, win_end, count(*) AS message_count, {_MINUTE} AS minute FROM kept GROUP BY ALL),
             sent AS (
               SELECT *, 0 AS "partition", minute AS "offset" FROM counted UNION ALL
-              SELECT *, 1, 2 * minute + again FROM counted, (VALUES (0), (3)) AS s(again)
+              SELECT counted.*, 1, 2 * minute + again FROM counted, (VALUES (0), (3)) AS s(again)
             ), told AS (
               SELECT *, "partition" = 1 AND win_start >= TIMESTAMP '2024-10-27 00:00:00' AND win_start < TIMESTAMP '2024-10-27 02:00:00'
                 AND win_start <> TIMESTAMP '2024-10-27 00:59:00' AS lost FROM sent
