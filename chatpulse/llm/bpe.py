@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -19,30 +20,40 @@ from chatpulse.llm.vocabulary import LocalCodes, by_frequency, gather, squeeze,
 BLOCK = "block long, doc_ids array<long>, text_of array<int>, lengths array<long>, places binary, words array<string>"
 
 
+def added_tokens(path: str) -> list[str]:
+    """Strings of the tokenizer's added tokens. ValueError for tokenizers whose words can't be encoded one by one."""
+    from tokenizers import Tokenizer
+
+    parts = json.loads(Tokenizer.from_file(path).to_str())
+    odd = ("single_word", "lstrip", "rstrip")
+    if merge_ranks(parts) is None or any(t[x] for t in parts["added_tokens"] for x in odd):
+        raise ValueError("words are encoded one by one for plain byte-level BPE only")
+    return [t["content"] for t in parts["added_tokens"]]
+
+
 class WordCutter:
     """Cuts a text into the words that the tokenizer encodes one by one; joined they are the text.
 
     Strings of added tokens are words of their own. Latin texts are cut by the pattern, whose
-    classes are the same there in every Unicode version; other texts by the library.
+    classes are the same there in every Unicode version; other texts by the library, which is
+    loaded when the first of them comes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: list[str]):
         import regex
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        parts = json.loads(tokenizer.to_str())
-        odd = ("single_word", "lstrip", "rstrip")
-        if merge_ranks(parts) is None or any(t[x] for t in parts["added_tokens"] for x in odd):
-            raise ValueError("words are encoded one by one for plain byte-level BPE only")
-        added = sorted((t["content"] for t in parts["added_tokens"]), key=len, reverse=True)
-        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+
+        longest_first = sorted(added, key=len, reverse=True)
+        self.added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
         self.latin = regex.compile(PATTERN)
-        self.library = tokenizer.pre_tokenizer
+        self.path, self.library = path, None
 
     def _plain(self, text: str) -> list[str]:
         if text.isascii() or LATIN.fullmatch(text):
             return self.latin.findall(text)
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path).pre_tokenizer
         return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
 
     def words(self, text: str) -> list[str]:
@@ -58,8 +69,10 @@ def word_blocks(docs: DataFrame, tokenizer_path: str, block_chars: int, id_colum
     A block holds ``block_chars`` characters or the text that goes beyond; equal texts of a block are kept once.
     """
 
+    added = added_tokens(tokenizer_path)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = WordCutter(tokenizer_path)
+        cutter = WordCutter(tokenizer_path, added)
         number = TaskContext.get().partitionId() << 32
 
         def block() -> pa.RecordBatch:
@@ -75,12 +88,14 @@ def word_blocks(docs: DataFrame, tokenizer_path: str, block_chars: int, id_colum
 
         ids, text_of, places, table, seen, size = [], [], [], LocalCodes(), {}, 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if text not in seen:
-                    seen[text] = len(places)
+            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = value.as_py()
+                digest = hashlib.sha256(text.encode("utf-8")).digest()
+                if digest not in seen:
+                    seen[digest] = len(places)
                     places.append(table.of(cutter.words(text)))
                 ids.append(doc)
-                text_of.append(seen[text])
+                text_of.append(seen[digest])
                 size += len(text)
                 if size >= block_chars:
                     yield block()
@@ -162,7 +177,7 @@ def _ids_of_block(block: pa.Table, words: pa.Table) -> pa.Table:
 def encode_texts(
     docs: DataFrame,
     tokenizer_path: str,
-    block_chars: int = 32_000_000,
+    block_chars: int = 16_000_000,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -177,7 +192,6 @@ def encode_texts(
     none; other columns are ignored. Of any length a text is whole in one block. Tokenizers that
     aren't plain byte-level BPE raise ValueError, since their words can't be encoded one by one.
     """
-    WordCutter(tokenizer_path)
     cut = word_blocks(docs, tokenizer_path, block_chars, id_column, text_column)
     blocks = write_buckets(cut, "bpe_blocks", "block")
     words = blocks.select("block", F.posexplode("words").alias("place", "word"))

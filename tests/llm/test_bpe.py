@@ -15,7 +15,7 @@ from chatpulse.llm.vocabulary import squeeze, unsqueeze
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
-CUTTER = bpe.WordCutter(PATH)
+CUTTER = bpe.WordCutter(PATH, bpe.added_tokens(PATH))
 SF = "/root/testdata/sf0.001"
 TEXTS = [
     "a <|endoftext|> b<|endoftext|>　漢字かな 한국어 ࢠ", None, "", "  \n\n x\u0085y 's 'S can't‍👩‍👩‍👧 é ١٢٣ 𞤀𞤁 Ა", "x\x00y\r\n\t z",
@@ -87,4 +87,4 @@ def test_places_and_other_tokenizers():
     for numbers in ([], [0], [1, 2**32 - 1, 7], list(range(70_000))):
         assert unsqueeze(squeeze(np.array(numbers, np.uint32))).tolist() == numbers
     with pytest.raises(ValueError):
-        bpe.WordCutter(public_tokenizers.path("word_bpe_49k.json"))
+        bpe.added_tokens(public_tokenizers.path("word_bpe_49k.json"))
