@@ -49,7 +49,8 @@ def word_blocks(docs: DataFrame, block_bytes: int, lang_column: str, text_column
             held, size = {}, 0
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for lang, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = value.as_py()
                 table, places = held.setdefault(lang, (LocalCodes(), []))
                 places.append(table.of([BREAK, *pieces_of(text)]))
                 size += len(text) + 1
@@ -304,7 +305,7 @@ def mine_phrases(
     inside: int = 50,
     top: int = 2000,
     sample_words: int = 1_000_000,
-    block_bytes: int = 32_000_000,
+    block_bytes: int = 16_000_000,
     filter_bytes: int = 4 << 20,
     lang_column: str = "lang",
     text_column: str = "text",
