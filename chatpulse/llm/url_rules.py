@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatpulse.llm.common import write_once
+
 #: (verdict, host, path prefix). A rule fits its host and all subdomains; the longest fitting one wins.
 PREFIX_RULES = (
     ("allow", "org", "/"),
@@ -55,6 +59,27 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.when(url.isNull(), F.array().cast("array<string>")).otherwise(tokens))
 
 
+def _telling_tokens(rows: DataFrame, least: int) -> DataFrame:
+    """(token) of tokens that at least ``least`` bad rows hold; one of those that the very same rows hold.
+
+    Rows are told apart by sums of their hashes. Tokens that always come together, such as the words of
+    a path that many urls share, would give a rule for each of their combinations.
+    """
+    held = rows.select("bad", F.xxhash64("page_id", "url").cast("decimal(38,0)").alias("row"), F.explode("items").alias("token"))
+    counted = held.groupBy("token").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad"), F.sum("row").alias("rows"))
+    return counted.where(F.col("n_bad") >= least).groupBy("n", "rows").agg(F.min("token").alias("token")).select("token")
+
+
+def beyond_chance(n_rows: Column, share: Column, base: float, tried: int, error: float = 0.05) -> Column:
+    """Whether so many bad rows among ``n_rows`` are too many for chance, by Chernoff's bound, which lies above the exact probability.
+
+    The bound is held against ``error`` divided by the number of combinations ``tried``.
+    """
+    base = min(max(base, 1e-9), 1 - 1e-9)
+    other = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    return (share > base) & (n_rows * (share * F.log(share / base) + other) >= float(math.log(max(tried, 1) / error)))
+
+
 def mine_rules(
     pages: DataFrame,
     labels: DataFrame,
@@ -63,31 +88,42 @@ def mine_rules(
     min_confidence: float = 0.5,
     min_lift: float = 1.5,
     train_rows: int = 200_000,
-    train_tokens: int = 10,
 ) -> DataFrame:
     """Rules (tokens, confidence, support) whose consequent is a bad label.
 
     A page labelled low quality or toxic (under the id it shares with ``labels``) is bad. The
-    training rows are at most ``train_rows`` labelled pages, taken by hash of id and url, each
-    with its first ``train_tokens`` tokens, so the number of frequent combinations has a
-    bound that doesn't depend on the table. A combination counts if at least ``min_support`` of
-    the rows and ``min_rows`` rows hold it. A rule is left out if a rule on part of its tokens is
-    as sure. FP-growth and rule generation run on the executors' JVMs.
+    training rows are about ``train_rows`` labelled pages, taken by hash of id and url, with all
+    their tokens. A combination counts if at least ``min_support`` of the rows and ``min_rows`` rows hold it
+    and are bad; tokens that fewer bad rows hold can be part of none and are dropped first, and of
+    tokens in the same rows one stands for all. A rule must have more bad rows than chance allows
+    (``beyond_chance``, corrected for the combinations tried), and is left out if a rule on part of its
+    tokens is as sure (``prune_rules``). FP-growth and rule generation run on the executors' JVMs.
     """
     marks = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad")
     )
     rows = pages.select("page_id", "url").join(marks.where(F.col("bad").isNotNull()), "page_id")
-    rows = rows.orderBy(F.xxhash64("page_id", "url"), "page_id", "url").limit(train_rows)
-    items = F.slice(url_tokens(F.col("url")), 1, train_tokens)
-    items = F.when(F.col("bad") == 1, F.array_append(items, F.lit(BAD))).otherwise(items)
-    baskets = rows.select(items.alias("items")).where(F.size("items") > 0)
-    support = max(min_support, min_rows / max(baskets.count(), 1))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(
-        (F.element_at("consequent", 1) == BAD) & (F.col("lift") >= min_lift)
-    ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    return rules
+    everything = rows.count()
+    if everything > train_rows:
+        part = int(train_rows / everything * (1 << 30))
+        rows = rows.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < part)
+    rows = write_once(rows.withColumn("items", url_tokens(F.col("url"))), "url-training")
+    known = rows.agg(F.count("*"), F.sum("bad")).first()
+    n, base = known[0], (known[1] or 0) / max(known[0], 1)
+    least = max(min_rows, math.ceil(min_support * n))
+    spread = rows.select("page_id", "url", "bad", F.explode("items").alias("token"))
+    telling = spread.join(_telling_tokens(rows, least), "token", "left_semi")
+    held = telling.groupBy("page_id", "url", "bad").agg(F.collect_set("token").alias("items"))
+    baskets = held.select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
+    baskets = write_once(baskets, "url-baskets")
+    size = max(baskets.count(), 1)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / size), minConfidence=min_confidence).fit(baskets)
+    tried = model.freqItemsets.where(~F.array_contains("items", BAD)).count()
+    found = model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.col("confidence") >= min_lift * base))
+    holders = F.col("support") * size / F.col("confidence")
+    return found.where(beyond_chance(holders, F.col("confidence"), base, tried)).select(
+        F.array_sort("antecedent").alias("tokens"), "confidence", (F.col("support") * size / max(n, 1)).alias("support")
+    )
 
 
 def prune_rules(rules: DataFrame) -> DataFrame:

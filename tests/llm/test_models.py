@@ -249,6 +249,38 @@ def test_mined_rules(spark):
     assert found == {i: "block" if i % 6 == 0 else "allow" for i in range(240)}
 
 
+def test_rules_use_all_tokens_and_beat_chance(spark):
+    """The one telling token is the 25th; a long path that all urls share makes no combinations; the rest is chance."""
+    random = np.random.default_rng(11)
+    shared = "/".join(f"s{k}" for k in range(24))
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 5 == 0
+        last = "offer" if bad and i % 10 else f"c{int(random.integers(8))}"
+        rows.append((i, f"http://h.net/{shared}/{last}/{i}"))
+        if i < 500:
+            labels.append((i, int(not bad), 0))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rules = url_rules.prune_rules(url_rules.mine_rules(pages, marked, min_rows=3, min_confidence=0.2)).collect()
+    assert [(r["tokens"], r["confidence"]) for r in rules] == [(["p:offer"], 1.0)]
+    found = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(pages, marked, min_confidence=0.2).collect()}
+    assert found == {i: "block" if i % 5 == 0 and i % 10 else "allow" for i in range(600)}
+
+
+def test_chernoff_bound_lies_above_the_exact_probability(spark):
+    cases = [(n, k, p) for n in (5, 20, 60) for k in range(1, n + 1) for p in (0.05, 0.25, 0.6) if k / n > p]
+    for tried in (1, 50):
+        for p in (0.05, 0.25, 0.6):
+            own = [(n, k) for n, k, q in cases if q == p]
+            frame = spark.createDataFrame([(float(n), k / n) for n, k in own], "n double, share double")
+            told = [r[0] for r in frame.select(url_rules.beyond_chance(F.col("n"), F.col("share"), p, tried)).collect()]
+            for (n, k), yes in zip(own, told):
+                exact = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k, n + 1))
+                assert not yes or exact <= 0.05 / tried + 1e-12
+            assert any(told)
+
+
 def test_pipeline(spark, tables):
     docs = tables["documents"]
     for name, stage in corpus_pipeline.STAGES[:-1]:
