@@ -32,6 +32,7 @@ from chatpulse.operators.enrichment import (
     window_requests,
 )
 from chatpulse.operators.lines import channel_events, format_lines, parse_lines, quarantine_lines
+from chatpulse.operators.loads import heavy_windows, keep_newest_by_load
 from chatpulse.operators.placement import place_results
 from chatpulse.operators.results import NO_MESSAGE, result_json
 from chatpulse.operators.rollups import merge_states, state_histogram, state_summary, window_states
@@ -43,7 +44,7 @@ from chatpulse.operators.scoring import (
     sentence_rows,
 )
 from chatpulse.operators.summary import rollup_windows
-from chatpulse.operators.windows import tumbling_count
+from chatpulse.operators.windows import assign_windows, tumbling_count
 from chatpulse.plans.branches import (
     kept_messages,
     narrative_branch,
@@ -158,6 +159,14 @@ def q_evict_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("win_start", "win_end", "arrival", "seq", "user", "message")
 
 
+def q_evict_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows again, with only the fuller days dealt to several tasks."""
+    windowed = assign_windows(event_messages(events(spark, sf_dir)), DAY)
+    mean = windowed.count() // 30
+    kept = keep_newest_by_load(windowed, heavy_windows(windowed, DAY, max(1, mean)), DAY)
+    return kept.select("win_start", "win_end", "arrival", "seq", "user", "message")
+
+
 def q_sentence_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_messages(documents(spark, sf_dir), SCORER)
     return sentence_rows(scored).select("seq", "sentence", "score", "class")
@@ -673,6 +682,8 @@ def _own_sql() -> dict[str, str]:
             {_london('o_orderdate::TIMESTAMP + to_seconds(o_orderkey)')} AS london FROM orders""",
         "evict_newest": f"""WITH {_EVENT_MSGS}, {_windowed('1 day')}
             SELECT win_start, win_end, arrival, seq, "user", message FROM kept""",
+        "evict_by_load": f"""WITH {_EVENT_MSGS}, {_windowed('1 day')}
+            SELECT win_start, win_end, arrival, seq, "user", message FROM kept""",
         "sentence_scores": f"""WITH {_DOCS}, {_scored('msgs')},
             rows AS (SELECT seq, generate_subscripts(scores, 1) - 1 AS sentence, unnest(scores) AS score FROM scored)
             SELECT seq, sentence, score, {_CLASS} AS class FROM rows""",
