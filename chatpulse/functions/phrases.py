@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections import deque
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +84,11 @@ class PhraseAutomaton:
         return [(0, t, to) for t, to in self.first.items()] + [(s, t, to) for s, own in enumerate(self.steps) for t, to in own.items()]
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _bucketed(entries: list[dict], place: str, buckets: int) -> Column:
     """Constant ``array<array<struct>>``: entries by the bucket of their key, found in one look."""
     table: list[list[dict]] = [[] for _ in range(buckets)]
@@ -167,32 +172,54 @@ class PhraseScorer:
 
             return F.aggregate(entries, F.struct(acc["turned"].alias("turned"), acc["sum"].alias("sum")), one)
 
-        def step(acc: Column, token: Column) -> Column:
-            known = F.get(F.filter(F.get(tokens, F.pmod(F.crc32(token), F.lit(words)).cast("int")), lambda e: e["token"] == token), F.lit(0))
-            key = (acc["state"] * per_state + known["number"]).cast("int")
-            found = F.get(F.filter(F.get(steps, F.pmod(key, F.lit(step_buckets)).cast("int")), lambda e: e["key"] == key), F.lit(0))
+        def looked_up(token: Column) -> Column:
+            """``number, first`` of a token; null for one of no phrase."""
+            bucket = F.get(tokens, F.pmod(F.crc32(token), F.lit(words)).cast("int"))
+            return F.get(F.filter(bucket, lambda e: e["token"] == token), F.lit(0))
+
+        def after(acc: Column, token: Column) -> Column:
+            key = (acc["state"] * per_state + token["number"]).cast("int")
+            bucket = F.get(steps, F.pmod(key, F.lit(step_buckets)).cast("int"))
+            found = F.get(F.filter(bucket, lambda e: e["key"] == key), F.lit(0))
             # A token of no phrase leads back to the start.
-            state = F.coalesce(found["next"], known["first"], whole(0))
-            end = F.get(ends, state)
+            return F.coalesce(found["next"], token["first"], whole(0))
+
+        def opened(acc: Column, end: Column) -> Column:
             start = (acc["at"] - end["size"] + 1).cast("int")
             new = F.struct(start.alias("start"), end["kind"].alias("kind"), end["weight"].alias("weight"))
             # Phrases inside the new one don't count.
             outside = F.filter(acc["open"], lambda e: e["start"] < start)
-            opened = F.when(end["size"] > 0, F.array_append(outside, new)).otherwise(acc["open"])
+            return F.when(end["size"] > 0, F.array_append(outside, new)).otherwise(acc["open"])
+
+        def moved(acc: Column, state: Column, entries: Column) -> Column:
             # Later phrases can hold only what begins less than the longest phrase before them.
             border = acc["at"] + 2 - longest
-            done = settle(acc, F.filter(opened, lambda e: e["start"] < border))
-            return F.struct(
-                state.alias("state"),
+            done = settle(acc, F.filter(entries, lambda e: e["start"] < border))
+            return once(
+                done,
+                lambda d: F.struct(
+                    state.alias("state"),
+                    (acc["at"] + 1).cast("int").alias("at"),
+                    F.filter(entries, lambda e: e["start"] >= border).alias("open"),
+                    d["turned"].alias("turned"),
+                    d["sum"].alias("sum"),
+                ),
+            )
+
+        def step(acc: Column, token: Column) -> Column:
+            passed = F.struct(
+                whole(0).alias("state"),
                 (acc["at"] + 1).cast("int").alias("at"),
-                F.filter(opened, lambda e: e["start"] >= border).alias("open"),
-                done["turned"].alias("turned"),
-                done["sum"].alias("sum"),
+                acc["open"].alias("open"),
+                acc["turned"].alias("turned"),
+                acc["sum"].alias("sum"),
             )
+            nothing = token.isNull() & (F.size(acc["open"]) == 0)
+            full = once(after(acc, token), lambda state: once(opened(acc, F.get(ends, state)), lambda entries: moved(acc, state, entries)))
+            return F.when(nothing, passed).otherwise(full)
 
-        return F.aggregate(
-            phrase_tokens(sentence), zero, step, lambda acc: clamp_score(settle(acc, acc["open"])["sum"])
-        )
+        known = F.transform(phrase_tokens(sentence), looked_up)
+        return F.aggregate(known, zero, step, lambda acc: clamp_score(settle(acc, acc["open"])["sum"]))
 
     def scores(self, text: Column) -> Column:
         return F.transform(sentences_of(text), self._sentence_score)
