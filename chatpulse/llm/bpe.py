@@ -77,10 +77,15 @@ def word_blocks(docs: DataFrame, tokenizer_path: str, block_chars: int, id_colum
 
         def block() -> pa.RecordBatch:
             nonlocal number
+            lengths = [len(p) for p in places]
             codes = np.concatenate(places) if places else np.empty(0, np.uint32)
-            ranked, order, _ = by_frequency(codes, len(table))
+            places.clear()  # a block's parts are let go as soon as they are packed
+            codes, order, _ = by_frequency(codes, len(table))
+            packed = squeeze(codes)
+            del codes
             words = list(table)
-            row = [number, ids, text_of, [len(p) for p in places], squeeze(ranked), [words[i] for i in order]]
+            table.clear()
+            row = [number, ids, text_of, lengths, packed, [words[i] for i in order]]
             number += 1
             types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.string())]
             names = ["block", "doc_ids", "text_of", "lengths", "places", "words"]
@@ -152,32 +157,42 @@ def encode_words(words: DataFrame, tokenizer_path: str, held_words: int = 500_00
     return map_arrow(together, work, "block long, places binary, sizes binary, ids binary")
 
 
+#: Words of a block that are set in place at a time.
+PLACED_WORDS = 500_000
+
+
 def _ids_of_block(block: pa.Table, words: pa.Table) -> pa.Table:
-    """The ids of every document of a block, from its places and the ids of its words."""
-    docs, starts, lengths, flat = [], np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    """The ids of every document of a block, from its places and the ids of its words, some documents at a time."""
+    parts = []
     if block.num_rows:
-        row = block.to_pylist()[0]
-        coded = [[unsqueeze(r[n]) for n in ("places", "sizes", "ids")] for r in words.to_pylist()]
-        known = np.concatenate([np.cumsum(c[0], dtype=np.int64) for c in coded] or [starts])
+        row = {name: block[name][0] for name in ("doc_ids", "text_of", "lengths", "places")}
+        coded = [[unsqueeze(words[n][i].as_py()) for n in ("places", "sizes", "ids")] for i in range(words.num_rows)]
+        known = np.concatenate([np.cumsum(c[0], dtype=np.int64) for c in coded] or [np.empty(0, np.int64)])
+        sizes = np.concatenate([c[1] for c in coded] or [np.empty(0, np.uint32)]).astype(np.int64)
+        pieces = np.concatenate([c[2] for c in coded] or [np.empty(0, np.uint32)]).view(np.int32)
         size_of, at = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
-        size_of[known] = sizes = np.concatenate([c[1] for c in coded] or [starts]).astype(np.int64)
-        at[known] = np.cumsum(sizes) - sizes
-        pieces = np.concatenate([c[2] for c in coded] or [starts]).astype(np.int32)
-        places = unsqueeze(row["places"])
-        flat = gather(pieces, at[places], size_of[places])
-        ends = np.concatenate(([0], np.cumsum(size_of[places])))
-        cuts = ends[np.concatenate(([0], np.cumsum(np.array(row["lengths"], np.int64))))]
-        text_of = np.array(row["text_of"], np.int64)
-        docs, starts, lengths = row["doc_ids"], cuts[text_of], (cuts[1:] - cuts[:-1])[text_of]
-    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(gather(flat, starts, lengths), pa.int32()))
-    return pa.table({"doc_id": pa.array(docs, pa.int64()), "ids": ids})
+        size_of[known], at[known] = sizes, np.cumsum(sizes) - sizes
+        places = unsqueeze(row["places"].as_py())
+        text_of = row["text_of"].values.to_numpy().astype(np.int64)
+        lengths = row["lengths"].values.to_numpy()
+        begins = np.cumsum(lengths) - lengths
+        group = np.cumsum(lengths[text_of]) // PLACED_WORDS
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(text_of)]
+        for a, b in zip(cuts, cuts[1:]):
+            own = text_of[a:b]
+            found = gather(places, begins[own], lengths[own])
+            before = np.concatenate(([0], np.cumsum(size_of[found])))
+            offsets = before[np.concatenate(([0], np.cumsum(lengths[own])))].astype(np.int32)
+            ids = pa.array(gather(pieces, at[found], size_of[found]), pa.int32())
+            parts.append(pa.table({"doc_id": row["doc_ids"].values.slice(a, b - a), "ids": pa.ListArray.from_arrays(pa.array(offsets), ids)}))
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    return pa.concat_tables([t.cast(schema) for t in parts]) if parts else schema.empty_table()
 
 
 def encode_texts(
     docs: DataFrame,
     tokenizer_path: str,
-    block_chars: int = 16_000_000,
+    block_chars: int = 32_000_000,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -215,7 +230,7 @@ def piece_table(tokenizer_path: str) -> pa.LargeBinaryArray:
     return pa.array(pieces, pa.large_binary())
 
 
-def decode_ids(encoded: DataFrame, tokenizer_path: str, slice_ids: int = 4_000_000) -> DataFrame:
+def decode_ids(encoded: DataFrame, tokenizer_path: str, slice_ids: int = 500_000) -> DataFrame:
     """``encoded`` with a column ``text``, the ids' pieces one after the other, read as UTF-8.
 
     The ids of a batch are joined by number with the table of pieces, which every task holds: it is no

@@ -30,7 +30,7 @@ def squeeze(numbers: np.ndarray) -> bytes:
     import zstandard
 
     planes = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).data)
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
