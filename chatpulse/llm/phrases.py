@@ -20,6 +20,8 @@ ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 PREPARED = bytes(BREAK[0] if b in ENDS else 32 if b == 9 else LOWER[b] for b in range(256))
 BLOCK = "block long, lang string, places binary, words array<binary>, counts array<long>"
 GRAMS = "gram binary, f long"
+#: Phrases of a block that are hashed or sent at a time.
+SLICE = 100_000
 CODE = 4
 
 
@@ -128,8 +130,11 @@ class GramFilter:
         return np.concatenate([(a + np.uint64(k) * b) & np.uint64(n_bits - 1) for k in range(3)])
 
     def holds(self, grams: np.ndarray) -> np.ndarray:
-        at = self.places(grams, len(self.bits) * 64).reshape(3, -1)
-        return (((self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)) == 1).all(axis=0)
+        out = np.zeros(len(grams), bool)
+        for a in range(0, len(grams), SLICE):
+            at = self.places(grams[a : a + SLICE], len(self.bits) * 64).reshape(3, -1)
+            out[a : a + SLICE] = (((self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)) == 1).all(axis=0)
+        return out
 
 
 def numbers_of(grams: pa.Array, size: int) -> np.ndarray:
@@ -174,12 +179,17 @@ def grams_of(codes: np.ndarray, longest: int, filters: list[GramFilter | None])
         if not len(at):
             return
         key = ids[at] << np.uint64(32) | codes[at + size - 1].astype(np.uint64)
-        unique, first, inverse, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        unique, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
+        del key
         lead = (unique >> np.uint64(32)).astype(np.int64)
         rows = lead[:, None].astype(np.uint32) if shorter is None else shorter[lead]
         rows = np.concatenate([rows, (unique & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None]], axis=1)
-        places = at[first]
-        due = both[-1][places] & ~np.logical_or.reduce([b[places] for b in both[:-1]] or [np.zeros(len(places), bool)])
+        # The same at every place of a phrase.
+        told = []
+        for b in both:
+            told.append(np.zeros(len(unique), bool))
+            told[-1][inverse] = b[at]
+        due = told[-1] & ~np.logical_or.reduce(told[:-1] or [np.zeros(len(unique), bool)])
         if due.any():
             yield rows[due], counts[due]
         ids = np.zeros(len(codes) - size + 1, np.uint64)
@@ -209,12 +219,12 @@ def count_grams(coded: DataFrame, longest: int, filters: list[GramFilter | None]
                     start = np.random.default_rng(block).integers(0, max(1, len(codes) - n + 1))
                     codes = codes[start : start + n]
                 for rows, counts in grams_of(codes, longest, filters):
-                    size, flat = rows.shape[1], rows.astype(">u4").tobytes()
-                    ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * (CODE * size))
-                    grams = pa.Array.from_buffers(pa.binary(), len(rows), [None, ends.buffers()[1], pa.py_buffer(flat)])
-                    whole = pa.RecordBatch.from_arrays([grams, pa.array(counts.astype(np.int64))], names=["gram", "f"])
-                    for a in range(0, len(rows), 100_000):
-                        yield whole.slice(a, 100_000)
+                    for a in range(0, len(rows), SLICE):
+                        own = rows[a : a + SLICE]
+                        ends = pa.array(np.arange(len(own) + 1, dtype=np.int32) * (CODE * own.shape[1]))
+                        flat = pa.py_buffer(own.astype(">u4").tobytes())
+                        grams = pa.Array.from_buffers(pa.binary(), len(own), [None, ends.buffers()[1], flat])
+                        yield pa.RecordBatch.from_arrays([grams, pa.array(counts[a : a + SLICE].astype(np.int64))], names=["gram", "f"])
 
     counted = map_arrow(coded, work, GRAMS).groupBy("gram").agg(F.sum("f").alias("f"))
     return counted.where(F.col("f") >= least)
