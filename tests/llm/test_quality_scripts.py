@@ -87,3 +87,44 @@ def test_thresholds_come_from_all_documents_not_fitted_on(spark):
     assert kn.trusted_labels(labels).join(chosen, "doc_id", "left_anti").count() == 180
     assert kn.training_ids(labels, 10**6).count() == kn.trusted_labels(labels).where("fit").count() < 200
     assert kn.training_ids(labels.where(F.lit(False)), 5).count() == 0
+
+
+def test_every_trusted_text_of_the_fitted_half_counts(spark):
+    """Also long ones, and with parts of texts smaller than a text."""
+    labels = spark.createDataFrame([(i, 1) for i in range(9000)], "doc_id long, quality int")
+    chosen = kn.training_ids(labels)
+    assert chosen.count() == kn.trusted_labels(labels).where("fit").count() > 4000
+    first = chosen.agg(F.min("doc_id")).first()[0]
+    docs = spark.createDataFrame([(first, "ab" * 15_000)], "doc_id long, text string").select("doc_id", F.col("text").cast("binary").alias("text"))
+    model = kn.fit_model(docs, chosen, 4)
+    assert model is not None and model.grams[0].count() == 2
+
+
+@pytest.mark.parametrize("most", [0, 40, 400])
+def test_scores_do_not_depend_on_the_head(spark, monkeypatch, most):
+    """Some, few or no n-grams in the tasks' table: the others are joined, unseen ones and contexts included."""
+    random = np.random.default_rng(2)
+    rows = [(i, "".join(random.choice(list("abcdé字 "), 60, p=[0.3, 0.2, 0.2, 0.1, 0.1, 0.05, 0.05])), "en") for i in range(120)]
+    rows += [(500, "zzz é漢😀 zz" * 5, "xx"), (501, None, "en"), (502, "", None), (None, "abc" * 30, "en"), (3, "dcba" * 9, "en"), (503, "abcd" * 300_000, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in range(90)], "doc_id long, quality int")
+
+    def judged(**settings):
+        found = kn.classify_quality(docs, labels, **settings).collect()
+        return sorted((r["doc_id"] or -1, r["n_chars"], round(r["perplexity"], 6), round(r["threshold"], 6), r["kept"]) for r in found)
+
+    whole = judged()
+    assert len(whole) == len(rows)
+    assert judged(head_rows=most) == whole
+
+
+def test_counts_of_parts_add_up(spark, monkeypatch):
+    texts = spark.createDataFrame([(t.encode(),) for t in ["abracadabra" * 40, "a", "cabbage abba"]], "text binary")
+    table = kn.code_table(texts)
+    counts = lambda: sorted(map(tuple, kn.top_counts(texts, table, 3).collect()))
+    whole = counts()
+    top = kn.top_counts(texts, table, 3).agg(F.sum("c")).first()[0]
+    assert top == 40 * 11 + 1 + 12
+    monkeypatch.setattr(kn, "PART", 7)
+    monkeypatch.setattr(kn, "HELD_GRAMS", 10)
+    assert counts() == whole
