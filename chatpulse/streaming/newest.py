@@ -65,15 +65,15 @@ class NewestRows(StatefulProcessor):
         pass
 
 
-#: Rows a task holds back while it trims; it passes them on beyond that.
-HELD_ROWS = 200_000
+#: Rows and bytes a task holds back while it trims; it passes them on beyond that.
+HELD_ROWS, HELD_BYTES = 200_000, 16 << 20
 
 
 def trim_tasks(rows: DataFrame, group: list[str], order: list[str], limit: int) -> DataFrame:
     """At most the newest ``limit`` rows of each group from each task, before anything is shuffled.
 
-    A task with very many groups passes on what it holds now and then; then it sends
-    more than that, never less.
+    A task whose groups hold more than it may keep passes them on now and then; then it sends
+    more than that, never less. Rows are trimmed when half of that has come in, not at every batch.
     """
 
     def newest(held: list[pa.Table]) -> pa.Table:
@@ -83,15 +83,19 @@ def trim_tasks(rows: DataFrame, group: list[str], order: list[str], limit: int)
         return table.take(pa.array(best.index.to_numpy()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        def full(tables: list[pa.Table], share: int = 1) -> bool:
+            return share * sum(t.num_rows for t in tables) >= HELD_ROWS or share * sum(t.nbytes for t in tables) >= HELD_BYTES
+
+        held, since = [], []
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = newest([table] if held is None else [held, table])
-            if held.num_rows >= HELD_ROWS:
-                yield from held.to_batches()
-                held = None
-        if held is not None:
-            yield from held.to_batches()
+            since.append(pa.Table.from_batches([batch]))
+            if full(since, 2):
+                held, since = [newest([*held, *since])], []
+                if full(held):
+                    yield from held[0].to_batches()
+                    held = []
+        if held or since:
+            yield from newest([*held, *since]).to_batches()
 
     return rows.mapInArrow(work, rows.schema)
 
