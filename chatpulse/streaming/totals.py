@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,8 +20,8 @@ from chatpulse.streaming.newest import EVENT_TIME
 
 _BOUNDS = ("_start_us", "_end_us")
 PICKS = ("most_positive", "most_negative")
-#: Windows a task holds while it combines its rows; it passes them on beyond that.
-HELD_WINDOWS = 100_000
+#: Windows, and characters of their texts, that a task holds while it combines its rows; it passes them on beyond that.
+HELD_WINDOWS, HELD_CHARS = 100_000, 32 << 20
 
 
 def combined(frames: list[pd.DataFrame], group: list[str], order: list[str]) -> pd.DataFrame:
@@ -97,6 +97,31 @@ def partial_schema(order: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+def task_totals(
+    own: list[str], order: list[str], state: T.StructType, names: list[str]
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Adds up a task's rows by window, in bounded memory: windows come out again when their texts are too long to hold."""
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def full(frames: list[pd.DataFrame], share: int = 1) -> bool:
+            chars = sum(int(frame[pick].map(len, na_action="ignore").sum()) for frame in frames for pick in PICKS)
+            return share * sum(map(len, frames)) >= HELD_WINDOWS or share * chars >= HELD_CHARS
+
+        held, since = [], []
+        for batch in batches:
+            if len(batch):
+                since.append(combined([typed(batch, state)], own, order))
+            if full(since, 2):
+                held, since = [combined([*held, *since], own, order)], []
+                if full(held):
+                    yield held[0][names]
+                    held = []
+        if held or since:
+            yield combined([*held, *since], own, order)[names]
+
+    return combine
+
+
 def all_message_windows(
     messages: DataFrame,
     scorer: Scorer,
@@ -137,20 +162,7 @@ def all_message_windows(
         *[column.cast("bigint").alias(name) for name, column in numbers.items()],
         *picks,
     )
-    own = ["win_start", *group]
-    names = rows.columns
-
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            batch = typed(batch, state)
-            held = combined([batch] if held is None else [held, batch], own, order)
-            if len(held) >= HELD_WINDOWS:
-                yield held[names]
-                held = None
-        if held is not None and len(held):
-            yield held[names]
-
+    combine = task_totals(["win_start", *group], order, state, rows.columns)
     watched, early_ms = rows.mapInPandas(combine, rows.schema), 0
     if mode == EVENT_TIME:
         # Rows at the watermark count as late; see ``closed_windows``.
