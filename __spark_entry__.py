@@ -26,7 +26,6 @@ from chatpulse.operators.enrichment import (
     PROMPT_FORMAT,
     SYSTEM_PROMPT,
     answered,
-    enrich,
     extract_content,
     window_prompts,
     window_requests,
@@ -47,9 +46,9 @@ from chatpulse.operators.summary import rollup_windows
 from chatpulse.operators.windows import assign_windows, tumbling_count
 from chatpulse.plans.branches import (
     kept_messages,
-    narrative_branch,
     narrative_requests,
     sentiment_branch,
+    stored_replies,
     summarise_kept,
     unlimited_summary,
 )
@@ -278,7 +277,7 @@ def q_llm_request(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_llm_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = EnrichSettings(model=MODEL, wait_ms=0)
     requests = narrative_requests(_kept_documents(spark, sf_dir), settings, MINUTE)
-    return _told(enrich(requests, offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT), settings, MINUTE))
+    return _told(stored_replies(requests, offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT), settings, MINUTE))
 
 
 def _told(replies: DataFrame) -> DataFrame:
@@ -402,8 +401,9 @@ def enriched_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = store_once(_kept_documents(spark, sf_dir), "kept")
     classifier = result_json(summarise_kept(kept, SCORER, MINUTE), MINUTE)
     client = offline_client_factory(EVERY, DOWN_AT, UNUSABLE_AT)
-    replies = narrative_branch(kept, client, EnrichSettings(model=MODEL, wait_ms=0), MINUTE)
-    narrative = extract_content(answered(store_once(replies, "replies"))).select(*MINUTE.group, "value")
+    settings = EnrichSettings(model=MODEL, wait_ms=0)
+    replies = stored_replies(narrative_requests(kept, settings, MINUTE), client, settings, MINUTE)
+    narrative = extract_content(answered(replies)).select(*MINUTE.group, "value")
     return union_feeds(classifier, narrative).withColumn("seq", F.lit(0).cast("bigint"))
 
 

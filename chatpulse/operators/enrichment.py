@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,8 +124,9 @@ def enrich(
 
     ``parallelism`` fixes how many tasks call at the same time; without it the requests are
     spread over as many tasks as the cluster runs at once, whatever their partitioning
-    was. A task has up to ``settings.calls`` calls under way. Every evaluation calls again, so
-    write the result to a table before reading it more than once (the streaming job does).
+    was. A task has up to ``settings.calls`` calls under way, and takes a request out of Spark's batch when
+    its turn comes. Every evaluation calls again, so write the result to a table before reading it more
+    than once (the streaming job does; ``session.small_batches`` keeps what a task gets at a time small).
     """
     attempts, wait_ms, calls = settings.attempts, settings.wait_ms, settings.calls
     group = plan.group
@@ -137,7 +139,7 @@ def enrich(
         ]
     )
 
-    def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = threading.local()
 
         def ask(request: str) -> tuple[str | None, int, str | None]:
@@ -145,16 +147,26 @@ def enrich(
                 own.client = client_factory()
             return call_with_retries(own.client, request, attempts, wait_ms)
 
+        def ask_in_turn(pool: ThreadPoolExecutor, requests: pa.Array) -> Iterator[tuple[str | None, int, str | None]]:
+            under_way = deque()
+            for request in requests:
+                under_way.append(pool.submit(ask, request.as_py()))
+                if len(under_way) >= 2 * calls:
+                    yield under_way.popleft().result()
+            while under_way:
+                yield under_way.popleft().result()
+
         with ThreadPoolExecutor(calls) as pool:
             for batch in batches:
-                replies = list(pool.map(ask, batch["request"]))
-                answered = pd.DataFrame(replies, columns=["response", "attempts", "error"], index=batch.index)
-                yield pd.concat([batch[group], answered], axis=1)
+                replies = list(ask_in_turn(pool, batch.column("request")))
+                responses, made, errors = zip(*replies) if replies else ((), (), ())
+                told = [pa.array(responses, pa.string()), pa.array(made, pa.int32()), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays([batch.column(name) for name in group] + told, names=schema.names)
 
     tasks = parallelism or requests.sparkSession.sparkContext.defaultParallelism
     # By a hash of its own: one by the group columns would be merged with the grouping's shuffle, which
     # adaptive execution may shrink to one task.
-    return requests.repartition(tasks, F.xxhash64(*group)).mapInPandas(call_all, schema)
+    return requests.repartition(tasks, F.xxhash64(*group)).mapInArrow(call_all, schema)
 
 
 def answered(enriched: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from chatpulse.operators.summary import (
     with_label,
 )
 from chatpulse.operators.windows import assign_windows, keep_newest
-from chatpulse.session import store_once
+from chatpulse.session import small_batches, store_once
 
 
 def kept_messages(messages: DataFrame, plan: WindowPlan = WindowPlan()) -> DataFrame:
@@ -114,3 +114,15 @@ def narrative_branch(
 ) -> DataFrame:
     """Replies of the narrative branch; write them to a table before reading them twice."""
     return enrich(narrative_requests(kept, settings, plan), client_factory, settings, plan, parallelism)
+
+
+def stored_replies(
+    requests: DataFrame,
+    client_factory: ClientFactory,
+    settings: EnrichSettings,
+    plan: WindowPlan = WindowPlan(),
+    parallelism: int | None = None,
+) -> DataFrame:
+    """Replies to the ``requests`` of a table, called for once and stored, some prompts at a time."""
+    with small_batches(requests.sparkSession):
+        return store_once(enrich(requests, client_factory, settings, plan, parallelism), "replies")

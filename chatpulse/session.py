@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 #: Every timestamp in this package is an instant; only formatting uses another zone.
 SESSION_ZONE = "UTC"
 
+#: What Spark hands a Python task at a time, in bytes, where whole messages or prompts go to one.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL_BATCH = 4 << 20
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -37,16 +41,14 @@ def pin_zone(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
-    """Settings a stream takes over when it starts; the session gets its own ones back.
+def _small_batch(spark: SparkSession) -> dict[str, str]:
+    """``SMALL_BATCH``, or what the session has if that is less."""
+    own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ARROW_BYTES))
+    return {ARROW_BYTES: f"{min(own, SMALL_BATCH) if own > 0 else SMALL_BATCH}b"}
 
-    ``partitions`` is the number of state partitions. It is fixed with the first start of
-    a checkpoint, so choose it for the load the stream will have.
-    """
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
-    if partitions:
-        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+
+@contextmanager
+def _held(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -57,6 +59,27 @@ def stream_settings(spark: SparkSession, partitions: int | None = None) -> Itera
             spark.conf.set(key, value)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """For what is run inside: Python tasks get a few megabytes at a time, however large the table is."""
+    with _held(spark, _small_batch(spark)):
+        yield
+
+
+@contextmanager
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings a stream takes over when it starts; the session gets its own ones back.
+
+    ``partitions`` is the number of state partitions. It is fixed with the first start of
+    a checkpoint, so choose it for the load the stream will have. Its Python tasks get small batches.
+    """
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER} | _small_batch(spark)
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    with _held(spark, wanted):
+        yield
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 

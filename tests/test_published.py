@@ -5,6 +5,8 @@ import json
 import threading
 import time
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +170,77 @@ def test_comparison_scores_the_messages_once(spark):
 
     plan = plan_text(entry.q_compare_windows(spark, "/root/testdata/sf0.001"))
     assert "documents.parquet" not in plan and plan.count("Scan parquet") <= 2
+
+
+class Captured:
+    """Stands in for a frame: hands back the function that a task would run."""
+
+    schema = None
+
+    def mapInArrow(self, work, schema):
+        return work
+
+
+def test_a_task_that_trims_many_windows_holds_a_few_megabytes():
+    from chatpulse.streaming import newest
+
+    taken = []
+
+    def batches():
+        for i in range(30):
+            taken.append(i)
+            yield pa.RecordBatch.from_pydict({"k": list(range(200 * i, 200 * i + 200)), "seq": list(range(200)), "message": ["x" * 20_000] * 200})
+
+    early, found = [], 0
+    for batch in trim_tasks(Captured(), ["k"], ["seq"], 5)(batches()):
+        early.append(len(taken))
+        found += batch.num_rows
+    assert found == 6000 and early[0] < 10 and newest.HELD_BYTES < 30 * 200 * 20_000
+
+
+def test_a_task_that_adds_up_many_windows_holds_a_few_megabytes():
+    from chatpulse.streaming import totals
+
+    state = totals.partial_schema(["seq"])
+    taken = []
+
+    def batches():
+        for i in range(30):
+            taken.append(i)
+            rows = {"_start_us": [k // 2 for k in range(400 * i, 400 * i + 400)], "message_count": 1, "sentence_count": 1, "score_sum": 3, "max_score": 3, "min_score": 3}
+            picks = {"most_positive_there": True, "most_positive_seq": range(400), "most_positive": "x" * 20_000, "most_negative_there": False, "most_negative_seq": None, "most_negative": None}
+            yield pd.DataFrame(rows | picks)
+
+    names = ["_start_us", *state.names]
+    early, found = [], []
+    for frame in totals.task_totals(["_start_us"], ["seq"], state, names)(batches()):
+        early.append(len(taken))
+        found.append(frame)
+    whole = pd.concat(found)
+    assert early[0] < 10 and len(whole) == 6000 and (whole.message_count == 2).all() and (whole.most_positive_seq % 2 == 0).all()
+
+
+def test_streams_and_stored_replies_hand_tasks_small_batches(spark, tmp_path):
+    from chatpulse.session import ARROW_BYTES, SMALL_BATCH, small_batches, stream_settings
+
+    rows = spark.range(0, 3000, 1, 1).select("id", F.expr("repeat('x', 20000)").alias("message"))
+    sizes = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+    before = spark.conf.get(ARROW_BYTES)
+    with small_batches(spark):
+        assert max(r.n for r in sizes.collect()) < 2 * SMALL_BATCH
+    with stream_settings(spark):
+        assert max(r.n for r in sizes.collect()) < 2 * SMALL_BATCH
+    assert spark.conf.get(ARROW_BYTES) == before
+
+
+def test_stored_replies_get_few_prompts_at_a_time(spark, monkeypatch):
+    """The table of replies is written with small batches, and calls are made once however often it is read."""
+    from chatpulse.plans import branches
+
+    seen = []
+    stored = branches.store_once
+    monkeypatch.setattr(branches, "store_once", lambda frame, label: (seen.append(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")), stored(frame, label))[1])
+    requests = window_requests(window_prompts(kept_messages(messages(spark, [(60 * i, "x") for i in range(6)]))), "m")
+    replies = branches.stored_replies(requests, lambda: (lambda request: str(time.time_ns())), SETTINGS)
+    assert sorted(replies.collect()) == sorted(replies.collect()) and replies.count() == 6
+    assert seen == [f"{4 << 20}b"]
