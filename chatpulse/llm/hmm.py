@@ -170,23 +170,21 @@ def by_step(texts: list[np.ndarray], budget: int = 400_000) -> Iterator[tuple[np
 
 def forward(model: Model, symbols: np.ndarray, offsets: np.ndarray, texts: int, keep: bool):
     """Scaled forward recursion: (log likelihoods, scaled alphas, scales); alphas only if asked for."""
-    b = model.emit[symbols]
+    alphas = model.emit[symbols]  # becomes them in place
     scales = np.empty(len(symbols))
-    alphas = b if keep else None
-    a = None
-    for t in range(len(offsets) - 1):
-        s, e = offsets[t], offsets[t + 1]
-        a = (model.start if a is None else a[: e - s] @ model.step) * b[s:e]
-        c = a.sum(1)
-        scales[s:e] = c
+    ones = np.ones(len(model.start))
+    before = None
+    for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        a = alphas[s:e]
+        a *= model.start if before is None else before[: e - s] @ model.step
+        c = np.matmul(a, ones, out=scales[s:e])
         a /= c[:, None]
-        if keep:
-            alphas[s:e] = a
+        before = a
     logs = np.log(scales)
     likelihood = np.zeros(texts)
     widths = np.diff(offsets)
     likelihood += np.bincount(np.arange(len(symbols)) - np.repeat(offsets[:-1], widths), logs, texts)
-    return likelihood, alphas, scales
+    return likelihood, alphas if keep else None, scales
 
 
 def expected_counts(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,16 +193,18 @@ def expected_counts(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray,
     start, step, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit)
     for group, symbols, offsets in by_step(texts):
         _, alphas, scales = forward(model, symbols, offsets, len(group), keep=True)
-        gamma = alphas.copy()
-        beta = np.ones((offsets[-1] - offsets[-2], states))
-        for t in range(len(offsets) - 3, -1, -1):
-            s, m, e = offsets[t], offsets[t + 1], offsets[t + 2]
-            ahead = model.emit[symbols[m:e]] * beta
-            ahead /= scales[m:e, None]
-            step += alphas[s : s + e - m].T @ ahead
-            beta = np.ones((m - s, states))
-            beta[: e - m] = ahead @ model.step.T
-            gamma[s:m] *= beta
+        ahead = model.emit[symbols]
+        ahead /= scales[:, None]
+        betas = np.ones_like(alphas)
+        back = np.ascontiguousarray(model.step.T)
+        bounds = offsets.tolist()
+        for s, m, e in zip(bounds[-3::-1], bounds[-2:0:-1], bounds[:1:-1]):
+            ahead[m:e] *= betas[m:e]
+            np.matmul(ahead[m:e], back, out=betas[s : s + e - m])
+        later = np.arange(bounds[1], bounds[-1])
+        widths = np.diff(offsets)
+        step += alphas[later - np.repeat(widths[:-1], widths[1:])].T @ ahead[later]
+        gamma = alphas * betas
         start += gamma[: offsets[1]].sum(0)
         for k in range(states):
             emit[:, k] += np.bincount(symbols, gamma[:, k], len(emit))
