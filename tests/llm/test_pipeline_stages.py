@@ -34,3 +34,22 @@ def test_one_document_of_each_group_of_fingerprints_stays(spark):
     kept = corpus_pipeline.simhash_near_dedup(spark, docs, "")
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == wanted
     assert corpus_pipeline.simhash_near_dedup(spark, docs.where("false"), "").count() == 0
+
+
+def test_quality_stage_fits_on_all_trusted_texts(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from chatpulse.llm import kneser_ney
+
+    spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, "an even text " * (2000 if i == 7 else 3), "en") for i in range(40)], "doc_id long, text string, lang string")
+    fitted = []
+    fit = kneser_ney.fit_model
+
+    def seen(narrow, chosen, order, longest=None, most=None):
+        fitted.append((chosen.count(), longest))
+        return fit(narrow, chosen, order, longest, most)
+
+    monkeypatch.setattr(kneser_ney, "fit_model", seen)
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).count() == 40
+    half = kneser_ney.trusted_labels(spark.read.parquet(f"{tmp_path}/labels.parquet")).where("fit").count()
+    assert fitted == [(half, None)]
