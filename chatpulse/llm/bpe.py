@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 
 from chatpulse.llm.common import map_arrow, text_or_empty, write_buckets
 from chatpulse.llm.tokens import LATIN, PATTERN, TextTokens, byte_alphabet, merge_ranks
-from chatpulse.llm.vocabulary import LocalCodes, by_frequency, gather, squeeze, unsqueeze
+from chatpulse.llm.vocabulary import LocalCodes, gather, squeeze, unsqueeze
+from chatpulse.session import small_batches
 
-BLOCK = "block long, doc_ids array<long>, text_of array<int>, lengths array<long>, places binary, words array<string>"
+BLOCK = "block long, first int, doc_ids array<long>, text_of array<int>, lengths array<long>, places binary, words array<string>"
+#: Words of a block whose places lie in one of its rows and are set in place at a time; distinct words in one of its rows.
+PLACED_WORDS, ROW_WORDS = 500_000, 50_000
 
 
 def added_tokens(path: str) -> list[str]:
@@ -64,9 +67,10 @@ class WordCutter:
 
 
 def word_blocks(docs: DataFrame, tokenizer_path: str, block_chars: int, id_column: str, text_column: str) -> DataFrame:
-    """One row per block of a task's texts: its distinct words, the most frequent first, and their places.
+    """Blocks of a task's texts: their distinct words, the most frequent first, and the places of all words.
 
-    A block holds ``block_chars`` characters or the text that goes beyond; equal texts of a block are kept once.
+    A block holds ``block_chars`` characters or the text that goes beyond; equal texts of a block are kept once. It comes
+    in several rows, so that none is large: each has some of the block's texts with their documents, and the words from number ``first`` on.
     """
 
     added = added_tokens(tokenizer_path)
@@ -75,21 +79,37 @@ def word_blocks(docs: DataFrame, tokenizer_path: str, block_chars: int, id_colum
         cutter = WordCutter(tokenizer_path, added)
         number = TaskContext.get().partitionId() << 32
 
-        def block() -> pa.RecordBatch:
+        def block() -> Iterator[pa.RecordBatch]:
             nonlocal number
-            lengths = [len(p) for p in places]
-            codes = np.concatenate(places) if places else np.empty(0, np.uint32)
-            places.clear()  # a block's parts are let go as soon as they are packed
-            codes, order, _ = by_frequency(codes, len(table))
-            packed = squeeze(codes)
-            del codes
+            lengths = np.array([len(p) for p in places])
+            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(lengths) // PLACED_WORDS)) + 1).tolist(), len(places)]
+            stretches = []
+            counts = np.zeros(len(table), np.int64)
+            for a, b in zip(cuts, cuts[1:]):
+                stretches.append(np.concatenate(places[a:b]))
+                places[a:b] = [None] * (b - a)  # a block's parts are let go as soon as they are packed
+                counts += np.bincount(stretches[-1], minlength=len(table))
+            order = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
             words = list(table)
             table.clear()
-            row = [number, ids, text_of, lengths, packed, [words[i] for i in order]]
+            by_text = np.argsort(text_of, kind="stable")
+            sorted_texts = np.array(text_of)[by_text]
+            rows = max(len(stretches), -(-len(order) // ROW_WORDS))
+            for i in range(rows):
+                a, b = cuts[i : i + 2] if i < len(stretches) else (0, 0)
+                own = slice(*np.searchsorted(sorted_texts, (a, b)).tolist())
+                packed = squeeze(rank[stretches[i]] if i < len(stretches) else np.empty(0, np.uint32))
+                if i < len(stretches):
+                    stretches[i] = None
+                first = i * ROW_WORDS
+                held = [words[k] for k in order[first : first + ROW_WORDS].tolist()]
+                row = [number, first, [ids[k] for k in by_text[own].tolist()], sorted_texts[own] - a, lengths[a:b], packed, held]
+                types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.string())]
+                names = ["block", "first", "doc_ids", "text_of", "lengths", "places", "words"]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
             number += 1
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.string())]
-            names = ["block", "doc_ids", "text_of", "lengths", "places", "words"]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         ids, text_of, places, table, seen, size = [], [], [], LocalCodes(), {}, 0
         for batch in batches:
@@ -103,10 +123,10 @@ def word_blocks(docs: DataFrame, tokenizer_path: str, block_chars: int, id_colum
                 text_of.append(seen[digest])
                 size += len(text)
                 if size >= block_chars:
-                    yield block()
+                    yield from block()
                     ids, text_of, places, table, seen, size = [], [], [], LocalCodes(), {}, 0
         if ids:
-            yield block()
+            yield from block()
 
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     return map_arrow(narrow, work, BLOCK)
@@ -157,21 +177,18 @@ def encode_words(words: DataFrame, tokenizer_path: str, held_words: int = 500_00
     return map_arrow(together, work, "block long, places binary, sizes binary, ids binary")
 
 
-#: Words of a block that are set in place at a time.
-PLACED_WORDS = 500_000
-
-
 def _ids_of_block(block: pa.Table, words: pa.Table) -> pa.Table:
     """The ids of every document of a block, from its places and the ids of its words, some documents at a time."""
     parts = []
-    if block.num_rows:
-        row = {name: block[name][0] for name in ("doc_ids", "text_of", "lengths", "places")}
-        coded = [[unsqueeze(words[n][i].as_py()) for n in ("places", "sizes", "ids")] for i in range(words.num_rows)]
-        known = np.concatenate([np.cumsum(c[0], dtype=np.int64) for c in coded] or [np.empty(0, np.int64)])
-        sizes = np.concatenate([c[1] for c in coded] or [np.empty(0, np.uint32)]).astype(np.int64)
-        pieces = np.concatenate([c[2] for c in coded] or [np.empty(0, np.uint32)]).view(np.int32)
-        size_of, at = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
-        size_of[known], at[known] = sizes, np.cumsum(sizes) - sizes
+    coded = [[unsqueeze(words[n][i].as_py()) for n in ("places", "sizes", "ids")] for i in range(words.num_rows)]
+    known = np.concatenate([np.cumsum(c[0], dtype=np.int64) for c in coded] or [np.empty(0, np.int64)])
+    sizes = np.concatenate([c[1] for c in coded] or [np.empty(0, np.uint32)]).astype(np.int64)
+    pieces = np.concatenate([c[2] for c in coded] or [np.empty(0, np.uint32)]).view(np.int32)
+    coded.clear()
+    size_of, at = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+    size_of[known], at[known] = sizes, np.cumsum(sizes) - sizes
+    for i in range(block.num_rows):
+        row = {name: block[name][i] for name in ("doc_ids", "text_of", "lengths", "places")}
         places = unsqueeze(row["places"].as_py())
         text_of = row["text_of"].values.to_numpy().astype(np.int64)
         lengths = row["lengths"].values.to_numpy()
@@ -208,9 +225,10 @@ def encode_texts(
     aren't plain byte-level BPE raise ValueError, since their words can't be encoded one by one.
     """
     cut = word_blocks(docs, tokenizer_path, block_chars, id_column, text_column)
-    blocks = write_buckets(cut, "bpe_blocks", "block")
-    words = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    coded = encode_words(words, tokenizer_path)
+    with small_batches(docs.sparkSession):
+        blocks = write_buckets(cut, "bpe_blocks", "block")
+    words = blocks.select("block", "first", F.posexplode("words").alias("place", "word"))
+    coded = encode_words(words.withColumn("place", F.col("first") + F.col("place")), tokenizer_path)
     places = blocks.select("block", "doc_ids", "text_of", "lengths", "places")
     return (
         places.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_ids_of_block, "doc_id long, ids array<int>")

@@ -88,3 +88,16 @@ def test_places_and_other_tokenizers():
         assert unsqueeze(squeeze(np.array(numbers, np.uint32))).tolist() == numbers
     with pytest.raises(ValueError):
         bpe.added_tokens(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_a_block_comes_in_rows_of_bounded_size(spark, docs, monkeypatch):
+    monkeypatch.setattr(bpe, "PLACED_WORDS", 20_000)
+    monkeypatch.setattr(bpe, "ROW_WORDS", 100)
+    many = docs.union(docs.select((F.col("doc_id") + 100).alias("doc_id"), F.concat("text", F.lit(" and more")).alias("text"), *docs.columns[2:]))
+    rows = bpe.word_blocks(many.coalesce(1), PATH, 10_000_000, "doc_id", "text").collect()
+    assert len({r["block"] for r in rows}) == 1 and len(rows) > 3
+    assert max(len(r["words"]) for r in rows) == 100 and sum(len(r["doc_ids"]) for r in rows) == many.count()
+    assert all(sum(r["lengths"][1:]) <= 20_000 for r in rows)
+    found = bpe.encode_texts(many.coalesce(1), PATH).collect()
+    wanted = [(r["doc_id"], library_ids(r["text"])) for r in many.collect()]
+    assert sorted(((r["doc_id"], list(r["ids"])) for r in found), key=str) == sorted(wanted, key=str)
