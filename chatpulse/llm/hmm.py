@@ -20,9 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatpulse.llm.common import map_arrow, text_bytes, words_of, write_once
+from chatpulse.session import small_batches
 
 CLASSES = 256
 LOG10 = np.log(10.0)
+#: Distinct words that a task counts before it sends them; symbols that it runs its recursions over at a time.
+COUNTED_WORDS, STEPPED = 250_000, 200_000
 
 
 def held_out_id(doc_id, folds: int = 5, fold: int = 1) -> bool:
@@ -67,9 +70,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if not held_out_id(doc_id):
                     counts.update(words_of(text.as_py()))
-            if len(counts) > 1_000_000:
-                yield flush()
-                counts = Counter()
+                if len(counts) > COUNTED_WORDS:
+                    yield flush()
+                    counts.clear()
         yield flush()
 
     return map_arrow(docs, work, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -149,7 +152,7 @@ def encode(docs: DataFrame, corpus: Corpus) -> DataFrame:
     )
 
 
-def by_step(texts: list[np.ndarray], budget: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def by_step(texts: list[np.ndarray], budget: int = STEPPED) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Groups of texts of like length, laid out step by step: (which texts, symbols, offsets of the steps)."""
     lengths = np.array([len(t) for t in texts])
     order = np.argsort(-lengths, kind="stable")
@@ -201,10 +204,9 @@ def expected_counts(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray,
         for s, m, e in zip(bounds[-3::-1], bounds[-2:0:-1], bounds[:1:-1]):
             ahead[m:e] *= betas[m:e]
             np.matmul(ahead[m:e], back, out=betas[s : s + e - m])
-        later = np.arange(bounds[1], bounds[-1])
         widths = np.diff(offsets)
-        step += alphas[later - np.repeat(widths[:-1], widths[1:])].T @ ahead[later]
-        gamma = alphas * betas
+        step += alphas[np.arange(bounds[1], bounds[-1]) - np.repeat(widths[:-1], widths[1:])].T @ ahead[bounds[1] :]
+        gamma = np.multiply(alphas, betas, out=betas)
         start += gamma[: offsets[1]].sum(0)
         for k in range(states):
             emit[:, k] += np.bincount(symbols, gamma[:, k], len(emit))
@@ -241,7 +243,9 @@ def trained(encoded: DataFrame, corpus: Corpus, states: int, rounds: int) -> Mod
             for batch in batches:
                 texts = [np.frombuffer(x.as_py(), "<i4") for x in batch.column(0)]
                 found = expected_counts(model, texts)
-                start, step, emit = start + found[0], step + found[1], emit + found[2]
+                start += found[0]
+                step += found[1]
+                emit += found[2]
             seen = np.flatnonzero(emit.any(1))
             at = np.concatenate([seen, np.arange(size, size + states + 1)])
             values = np.concatenate([emit[seen], step, start[None]])
@@ -297,13 +301,14 @@ def score_texts(
     every count is zero and the model is the uniform start.
     """
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_bytes(text_column).alias("text"))
-    counts = write_once(word_counts(narrow), "hmm-counts")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id")).where(F.coalesce(fold, F.lit(True))).count()
-    corpus = corpus_counts(counts, texts, head_words, symbols)
-    encoded = write_once(encode(narrow, corpus), "hmm-symbols")
-    model = trained(encoded, corpus, states, rounds)
-    likelihoods = _likelihoods(encoded, model)
+    with small_batches(docs.sparkSession):
+        counts = write_once(word_counts(narrow), "hmm-counts")
+        corpus = corpus_counts(counts, texts, head_words, symbols)
+        encoded = write_once(encode(narrow, corpus), "hmm-symbols")
+        model = trained(encoded, corpus, states, rounds)
+        likelihoods = write_once(_likelihoods(encoded, model), "hmm-likelihoods")
     tail = encoded.select("row", F.explode("tail").alias("w")).select("row", "w.word", "w.tf")
     joined = tail.join(counts, "word", "left").select("row", "tf", F.coalesce("c", F.lit(0)).alias("c"))
     sums = joined.groupBy("row").agg(

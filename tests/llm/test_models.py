@@ -39,6 +39,26 @@ def test_forward_is_the_sum_over_paths():
     assert start.sum() == pytest.approx(3) and step.sum() == pytest.approx(6) and emit.sum(1) == pytest.approx(np.bincount(np.concatenate(texts), minlength=5))
 
 
+def test_memory_of_a_training_round_is_bounded():
+    import tracemalloc
+
+    random = np.random.default_rng(2)
+    model = hmm.Model(np.full(8, 1 / 8), np.full((8, 8), 1 / 8), np.full((50, 8), 1 / 50))
+    texts = [random.integers(0, 50, 400) for _ in range(2000)]
+    tracemalloc.start()
+    hmm.expected_counts(model, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+def test_counted_words_are_sent_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "COUNTED_WORDS", 100)
+    docs = spark.createDataFrame([(None, " ".join(f"w{k}" for k in range(i, i + 60)).encode()) for i in range(50)], "doc_id long, text binary")
+    found = {bytes(r["word"]).decode(): r["c"] for r in hmm.word_counts(docs).collect()}
+    assert found == {f"w{k}": min(k + 1, 50, 60, 109 - k) for k in range(109)}
+
+
 def test_hmm_scores(spark):
     rows = [(i, " ".join(np.random.default_rng(i).choice(["La le", "les un", "the of", "an It"][i % 2 * 2 :][:2], 30))) for i in range(40)]
     rows += [(50, None), (51, ""), (None, "the of"), (3, "the of"), (6, "never seen words"), (52, "the " * 5000)]
