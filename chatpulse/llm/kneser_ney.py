@@ -261,17 +261,14 @@ def in_fitted_half() -> Column:
 
 
 def trusted_labels(labels: DataFrame) -> DataFrame:
-    """(doc_id, fit): ids of documents whose labels all say good quality; ``fit`` is half of them by hash, of which some are fitted on."""
+    """(doc_id, fit): ids of documents whose labels all say good quality; ``fit`` is the half of them, by hash, that is fitted on."""
     trusted = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where(F.col("q") == 1)
     return trusted.select("doc_id", in_fitted_half().alias("fit"))
 
 
-def training_ids(labels: DataFrame, train_docs: int | None = None) -> DataFrame:
-    """(doc_id) of the trusted documents that are fitted on: all of one half of them, or ``train_docs`` of it by hash."""
-    fit = trusted_labels(labels).where("fit")
-    if train_docs is not None:
-        fit = fit.orderBy(F.xxhash64(F.col("doc_id").cast("long"), F.lit(5)), "doc_id").limit(train_docs)
-    return write_once(fit.select("doc_id"), "kn-ids")
+def training_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id) of the trusted documents that are fitted on: all of one half of them; all of the other set the thresholds."""
+    return write_once(trusted_labels(labels).where("fit").select("doc_id"), "kn-ids")
 
 
 def fit_model(docs: DataFrame, chosen: DataFrame, order: int, longest: int | None = None, most: int | None = None) -> Sharded | None:
@@ -355,14 +352,11 @@ def classify_quality(
     quantile: float = 0.99,
     margin: float = 1.0,
     prior: int = 60,
-    train_docs: int | None = None,
-    longest: int | None = None,
     head_rows: int | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, lang, n_chars, perplexity, threshold, kept.
 
-    Fitted on the whole texts of one half (by hash) of the documents labelled as good; ``train_docs`` and ``longest``
-    make that fewer. The model stays in Spark's tables, tasks get ``head_rows`` rows of it, and n-grams beyond
+    Fitted on the whole texts of one half (by hash) of the documents labelled as good. The model stays in Spark's tables, tasks get ``head_rows`` rows of it, and n-grams beyond
     these are joined: no result depends on that number. A document's perplexity is that of its whole text, per character, drawn to the trusted mean as
     if ``prior`` average characters were added, so that a few odd characters don't condemn a short
     text. The threshold of a language comes from all other documents labelled as good in it:
@@ -374,8 +368,8 @@ def classify_quality(
     figures; an empty table gives no rows. Other columns are ignored.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_bytes("text").alias("text"))
-    chosen = training_ids(labels, train_docs)
-    model = fit_model(narrow, chosen, order, longest, head_rows)
+    chosen = training_ids(labels)
+    model = fit_model(narrow, chosen, order, most=head_rows)
     if model is None:
         nothing = F.lit(None).cast("double")
         length = F.char_length(F.col("text").cast("string")).cast("long")

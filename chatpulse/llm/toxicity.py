@@ -11,14 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatpulse.functions.packed import id_filter
 from chatpulse.llm.common import map_arrow, text_bytes, write_once
 from chatpulse.llm.decontaminate import plain_words
+from chatpulse.llm.vocabulary import squeeze, unsqueeze
 
 GRADES = 4  # 0 none, 1 mild, 2 clear, 3 severe
 
 
 #: Bytes of the word beginnings that count as features, so that inflected forms share what they tell.
 STEMS = (4, 5, 6)
+#: Features of texts that a task counts before it sends them.
+COUNTED = 1 << 21
 
 
 def features(text: bytes) -> np.ndarray:
@@ -49,33 +53,63 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def sample_ids(labels: DataFrame, train_docs: int) -> DataFrame:
-    """(doc_id, toxic): at most ``train_docs`` labelled ids of either kind, taken by hash."""
+def packed(found: np.ndarray) -> bytes:
+    return squeeze(np.diff(np.sort(found), prepend=0))
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """Ascending features."""
+    return np.cumsum(unsqueeze(data), dtype=np.int64)
+
+
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): all labelled ids; one is toxic if any of its labels says so."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = [F.xxhash64(F.col("doc_id").cast("long"), F.lit(9)), F.col("doc_id")]
-    kinds = [marks.where(F.col("toxic") == k).orderBy(*order).limit(train_docs) for k in (0, 1)]
-    return kinds[0].unionByName(kinds[1])
+    return marks.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int, longest: int) -> DataFrame:
-    """(toxic, n_words, features) of the sample; documents are met where they lie, not shuffled."""
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(toxic, n_words, features packed) of all labelled documents, whole; those that a small filter tells to have no label stay where they lie."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
             sizes = [len(plain_words(t)) for t in texts]
-            found = [sorted(features(t).tolist()) for t in texts]
+            found = [packed(features(t)) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())],
                 names=["toxic", "n_words", "features"],
             )
 
-    chosen = F.broadcast(sample_ids(labels, train_docs))
-    rows = docs.where(F.octet_length("text") <= longest).join(chosen, "doc_id").select("toxic", "text")
-    found = map_arrow(rows, work, "toxic long, n_words long, features array<long>")
+    chosen = write_once(labelled_ids(labels), "toxicity-ids")
+    rows = docs.where(id_filter(chosen, "doc_id")(F.col("doc_id"))).join(chosen, "doc_id").select("toxic", "text")
+    found = map_arrow(rows, work, "toxic long, n_words long, features binary")
     # Copies of one text count once.
-    return write_once(found.dropDuplicates(["toxic", "n_words", "features"]), "toxicity-sample")
+    return write_once(found.distinct(), "toxicity-rows")
+
+
+def feature_counts(rows: DataFrame) -> DataFrame:
+    """(f, t, c): toxic and other texts that hold a feature; those of a task are added up before they are sent."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held or [np.empty(0, np.int64)]), return_counts=True)
+            toxic = keys & 1
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (keys >> 1, n * toxic, n * (1 - toxic))], names=["f", "t", "c"])
+
+        for batch in batches:
+            for toxic, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held.append(unpacked(data.as_py()) << 1 | toxic)
+                size += len(held[-1])
+                if size >= COUNTED:
+                    yield counted()
+                    held, size = [], 0
+        yield counted()
+
+    parts = map_arrow(rows.select("toxic", "features"), work, "f long, t long, c long")
+    return parts.groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
 
 
 def chance(t: np.ndarray, c: np.ndarray, n1: int, n0: int) -> np.ndarray:
@@ -104,18 +138,21 @@ def telling_features(rows: DataFrame, least_z: float, by_chance: float, least_do
     if not sizes.get(0) or not sizes.get(1):
         return {}
     n1, n0 = sizes[1], sizes[0]
-    seen = rows.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
-    )
+    seen = feature_counts(rows)
     t, c = F.col("t"), F.col("c")
     odds = F.log((t + 0.5) / (n1 + 0.5 - t)) - F.log((c + 0.5) / (n0 + 0.5 - c))
     p = (t + c) / (n1 + n0)
     z = F.abs(t / n1 - c / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n1 + 1 / n0))
     tried = write_once(seen.where(t + c >= least_docs).select("f", "t", "c", odds.alias("odds"), z.alias("z")), "toxicity-features")
-    found = tried.where(F.col("z") >= least_z).collect()  # bounded by the sample's words
-    counts = np.array([(r["t"], r["c"]) for r in found], np.int64).reshape(-1, 2)
-    clear = chance(counts[:, 0], counts[:, 1], n1, n0) * tried.count() < by_chance
-    return {r["f"]: r["odds"] for r, ok in zip(found, clear) if ok}
+    among = tried.count()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clear = chance(batch.column(1).to_numpy(), batch.column(2).to_numpy(), n1, n0) * among < by_chance
+            yield batch.select(["f", "odds"]).filter(pa.array(clear, pa.bool_()))
+
+    clear = map_arrow(tried.where(F.col("z") >= least_z).select("f", "t", "c", "odds"), work, "f long, odds double")
+    return {r["f"]: r["odds"] for r in clear.collect()}  # the model's own features
 
 
 def graded(rows: DataFrame, odds: dict[int, float]) -> DataFrame:
@@ -123,18 +160,25 @@ def graded(rows: DataFrame, odds: dict[int, float]) -> DataFrame:
 
     The labels tell toxic from not. Toxic documents fall into thirds of (telling toxic words
     per word), which gives the ordered grades 1 to 3; the others have grade 0. All rows weigh
-    the same, so a text without telling words gets the severity of such texts in the sample.
+    the same, so a text without telling words gets the severity of such texts among the labelled.
+    Features are places among the telling ones in ascending order; all others are left out.
     """
-    spark = rows.sparkSession
-    toxic = spark.createDataFrame([(f,) for f, o in odds.items() if o > 0] or [(-1,)], "f long").agg(F.collect_set("f")).first()[0]
-    known = F.array(*[F.lit(f) for f in sorted(odds)]) if odds else F.array().cast("array<bigint>")
-    telling = F.array(*[F.lit(f) for f in sorted(toxic)])
-    density = F.size(F.array_intersect("features", telling)) / F.sqrt(F.greatest("n_words", F.lit(1)))
-    rows = rows.withColumn("density", F.when(F.col("toxic") == 1, density))
+    kept = np.array(sorted(odds), np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast((kept, np.array([odds[f] > 0 for f in kept.tolist()], bool)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, telling = shared.value
+        for batch in batches:
+            marks, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            found = [np.flatnonzero(np.isin(kept, unpacked(x.as_py()), assume_unique=True)) for x in batch.column(2)]
+            density = [int(telling[own].sum()) / np.sqrt(max(n, 1)) if mark == 1 else None for mark, n, own in zip(marks, sizes, found)]
+            arrays = [batch.column(0), pa.array(density, pa.float64()), pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "density", "features"])
+
+    rows = write_once(map_arrow(rows.select("toxic", "n_words", "features"), work, "toxic long, density double, features array<int>"), "toxicity-grades")
     cuts = rows.agg(F.percentile_approx("density", [1 / 3, 2 / 3])).first()[0] or [0.0, 0.0]
     grade = F.when(F.col("toxic") == 0, 0).when(F.col("density") <= cuts[0], 1).when(F.col("density") <= cuts[1], 2).otherwise(3)
-    weight = F.lit(1.0 / max(rows.count(), 1))
-    return rows.select(grade.alias("grade"), F.array_intersect("features", known).alias("features"), weight.alias("weight"))
+    return rows.select(grade.alias("grade"), "features", F.lit(1.0 / max(rows.count(), 1)).alias("weight"))
 
 
 def gradient(model: Model, grades: np.ndarray, scores: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -154,10 +198,10 @@ def gradient(model: Model, grades: np.ndarray, scores: np.ndarray, weights: np.n
 
 
 def fit_model(rows: DataFrame, odds: dict[int, float], rounds: int = 40, rate: float = 0.4, ridge: float = 1e-4) -> Model:
-    """Adam on full gradients, each summed over the partitions of the sample by parameter."""
+    """Adam on full gradients, each summed over the partitions of the rows by parameter."""
     kept = np.array(sorted(odds), np.int64)
     size, cuts = len(kept), GRADES - 1
-    sample = write_once(graded(rows, odds), "toxicity-grades")
+    training = graded(rows, odds)
     values = np.concatenate([np.array([0.5 * odds[f] for f in kept.tolist()]), [0.0, 1.0, 1.0]])
     first, second = np.zeros(size + cuts), np.zeros(size + cuts)
 
@@ -171,17 +215,16 @@ def fit_model(rows: DataFrame, odds: dict[int, float], rounds: int = 40, rate: f
         def work(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             total = np.zeros(size + cuts)
             for batch in batches:
-                grades = np.array(batch.column(0).to_pylist(), np.int64)
-                own = [np.searchsorted(kept, np.array(x, np.int64)) for x in batch.column(1).to_pylist()]
-                scores = np.array([model.weights[x].sum() for x in own])
-                _, d_score, d_cuts = gradient(model, grades, scores, np.array(batch.column(2).to_pylist()))
+                grades, weights = batch.column(0).to_numpy().astype(np.int64), batch.column(2).to_numpy()
+                lengths, at = batch.column(1).value_lengths().to_numpy(), batch.column(1).flatten().to_numpy()
+                scores = np.bincount(np.repeat(np.arange(len(lengths)), lengths), model.weights[at], len(lengths))
+                _, d_score, d_cuts = gradient(model, grades, scores, weights)
                 total[size:] += d_cuts
-                if own:
-                    np.add.at(total, np.concatenate(own), np.repeat(d_score, [len(x) for x in own]))
+                total += np.bincount(at, np.repeat(d_score, lengths), size + cuts)
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["at", "value"])
 
-        parts = map_arrow(sample, work, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+        parts = map_arrow(training, work, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
         total = np.zeros(size + cuts)
         for row in parts.collect():
             total[row["at"]] = row["value"]
@@ -197,8 +240,6 @@ def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     reject_at: float = 0.3,
-    train_docs: int = 4000,
-    longest: int = 20_000,
     least_z: float = 4.0,
     by_chance: float = 0.05,
     least_docs: int = 5,
@@ -208,14 +249,13 @@ def score_toxicity(
     """One row per document: doc_id, severity (expected grade, 0 to 3), toxic (severity >= ``reject_at``
     and more than that of a text without telling words).
 
-    Fitted on at most ``train_docs`` labelled documents of either kind, of at most ``longest`` bytes, taken
-    by hash of the id. Every word and word beginning of a whole text counts once. Null and empty texts have the
+    Fitted on the whole texts of all labelled documents, copies once. Every word and word beginning of a whole text counts once. Null and empty texts have the
     lowest severity; null ids keep their rows; rows repeated under one id are scored
     each; if the labels hold only one kind, or no word tells them apart, severity is 0
     throughout; an empty table gives no rows. Other columns are ignored.
     """
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_bytes(text_column).alias("text"))
-    rows = training_rows(narrow, labels, train_docs, longest)
+    rows = training_rows(narrow, labels)
     odds = telling_features(rows, least_z, by_chance, least_docs)
     if not odds:
         return narrow.select("doc_id", F.lit(0.0).alias("severity"), F.lit(False).alias("toxic"))

@@ -4,6 +4,7 @@ from math import comb
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chatpulse.llm import toxicity
 
@@ -31,3 +32,18 @@ def test_words_of_a_rare_language_count(spark):
     missed = [i for i, _, _, t in rows if t and not found[i]]
     flagged = [i for i, _, _, t in rows if found[i] and not t]
     assert len(missed) <= 2 and len(flagged) <= 2
+
+
+def test_all_labelled_texts_are_fitted_on_whole(spark):
+    """A telling word at the end of long texts only, and in five times as many labelled documents as were once taken."""
+    rows = [(i, f"n{i} " + "calm day " * (3000 if i < 60 else 1) + ("foulest" if i < 30 else ""), int(i < 30)) for i in range(21_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    kept = toxicity.training_rows(docs.select("doc_id", F.col("text").cast("binary").alias("text")), docs.select("doc_id", "toxic"))
+    assert {r["toxic"]: r["count"] for r in kept.groupBy("toxic").count().collect()} == {1: 30, 0: 20_970}
+    found = {r["doc_id"]: r["toxic"] for r in toxicity.score_toxicity(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")).collect()}
+    assert all(found[i] == (i < 30) for i, _, _ in rows)
+
+
+def test_packed_features_come_back():
+    for text in (b"", b"one", b"Several words, several wordings; " * 50):
+        assert toxicity.unpacked(toxicity.packed(toxicity.features(text))).tolist() == sorted(toxicity.features(text).tolist())
