@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -68,24 +69,40 @@ def labelled_ids(labels: DataFrame) -> DataFrame:
     return marks.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
+def short(words: list[bytes]) -> bytes:
+    """The distinct words in order, compressed: all that ``features`` takes from a text, in fewer bytes than its features."""
+    return zlib.compress(b" ".join(sorted(set(words))), 3)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, n_words, features packed) of all labelled documents, whole; those that a small filter tells to have no label stay where they lie."""
+    """(toxic, n_words, features packed) of all labelled documents, whole; those that a small filter tells to have no label stay where they lie.
+
+    Texts are made short where they lie. Only that moves: to the labels, then to its copies.
+    """
+
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, found = [], []
+            for text in batch.column(1):
+                words = plain_words(text.as_py())
+                sizes.append(len(words))
+                found.append(short(words))
+            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "words"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(1)]
-            sizes = [len(plain_words(t)) for t in texts]
-            found = [packed(features(t)) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())],
-                names=["toxic", "n_words", "features"],
-            )
+            found = [packed(features(zlib.decompress(x.as_py()))) for x in batch.column(2)]
+            arrays = [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "n_words", "features"])
 
     chosen = write_once(labelled_ids(labels), "toxicity-ids")
-    rows = docs.where(id_filter(chosen, "doc_id")(F.col("doc_id"))).join(chosen, "doc_id").select("toxic", "text")
-    found = map_arrow(rows, work, "toxic long, n_words long, features binary")
+    near = docs.where(id_filter(chosen, "doc_id")(F.col("doc_id"))).select("doc_id", "text")
+    texts = map_arrow(near, shortened, "doc_id long, n_words long, words binary")
+    # Merged at every size: the labels grow with the documents, so no task should hold them all.
+    marked = texts.join(chosen.hint("merge"), "doc_id").select("toxic", "n_words", "words")
     # Copies of one text count once.
-    return write_once(found.distinct(), "toxicity-rows")
+    return write_once(map_arrow(marked.distinct(), work, "toxic long, n_words long, features binary"), "toxicity-rows")
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """The telling words of a rare language beside those of a frequent one."""
 
+import zlib
 from math import comb
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatpulse.llm import toxicity
+from tests.helpers import plan_text
 
 
 def test_chance_is_the_hypergeometric_tail():
@@ -47,3 +49,51 @@ def test_all_labelled_texts_are_fitted_on_whole(spark):
 def test_packed_features_come_back():
     for text in (b"", b"one", b"Several words, several wordings; " * 50):
         assert toxicity.unpacked(toxicity.packed(toxicity.features(text))).tolist() == sorted(toxicity.features(text).tolist())
+
+
+def test_what_moves_of_a_text_is_short():
+    random = np.random.default_rng(5)
+    for n in (0, 1, 40, 3000):
+        text = " ".join(f"{'Ab'[k % 2]}{'cdefgh'[k % 6]}ing{k}," for k in random.integers(0, 500, n)).encode()
+        short = toxicity.short(toxicity.plain_words(text))
+        assert np.array_equal(np.sort(toxicity.features(zlib.decompress(short))), np.sort(toxicity.features(text)))
+        assert n < 40 or len(short) < 0.8 * len(toxicity.packed(toxicity.features(text)))
+
+
+def test_texts_do_not_move_and_few_labels_move_like_many(spark, monkeypatch):
+    """Below the size of a broadcast, too, the labels come by a merge; no exchange holds texts."""
+    plans, write_once = [], toxicity.write_once
+
+    def seen(frame, name):
+        if name == "toxicity-rows":
+            plans.append(plan_text(frame))
+        return write_once(frame, name)
+
+    monkeypatch.setattr(toxicity, "write_once", seen)
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.lit(b"some vile words").alias("text"))
+    rows = toxicity.training_rows(docs, spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic")))
+    assert sorted(r["toxic"] for r in rows.collect()) == [0, 1]
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+    # Every text is shortened below the first exchange that it would pass.
+    left = plans[0][plans[0].index("SortMergeJoin") :]
+    assert left.index("Exchange") < left.index("MapInArrow")
+
+
+def test_training_rows_are_the_distinct_labelled_texts(spark):
+    """Against plain Python: copies but for case and signs count once for each mark, repeats of words in n_words, ids without a label not at all."""
+    texts = ["", "Vile, vile day", "vile vile DAY!", "day vile vile", "calm day", "calm day day", "Größe \u0e01\u0e02", "left out"]
+    docs = [(i, texts[i % 8]) for i in range(64)] + [(1, "calm day"), (1, texts[1]), (None, "nobody"), (99, "unmarked")]
+    marks = [(i, int(i % 5 == 0)) for i in range(64) if i % 8 != 7] + [(3, 1), (3, 1), (4, None), (None, 1), (7, None), (500, 1)]
+    mark = {}
+    for i, toxic in marks:
+        if i is not None and toxic is not None:
+            mark[i] = max(toxic, mark.get(i, 0))
+    expected = set()
+    for i, text in docs:
+        if i in mark:
+            words = toxicity.plain_words(text.encode())
+            expected.add((mark[i], len(words), tuple(sorted(toxicity.features(text.encode()).tolist()))))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", F.col("text").cast("binary").alias("text"))
+    rows = toxicity.training_rows(frame, spark.createDataFrame(marks, "doc_id long, toxic int")).collect()
+    assert len(rows) == len(expected)
+    assert {(r["toxic"], r["n_words"], tuple(toxicity.unpacked(r["features"]).tolist())) for r in rows} == expected
